@@ -65,6 +65,15 @@ def spend_maker_entries(spend: DataFrame) -> DataFrame:
     return entries(spend, maker_block("mfrcanonicalname"), "itemdesc", "itemdesc")
 
 
+def distinct_matches(best: DataFrame, described: DataFrame) -> DataFrame:
+    """Matches of one item with the same description and score, counted once."""
+    return (
+        best.join(described, ["block", "cand_id"])
+        .groupBy("block", "text", "description", "score")
+        .agg(F.min("rank").alias("rank"))
+    )
+
+
 def link(items: DataFrame, catalogue: DataFrame, records: DataFrame, settings: Settings, block: str) -> DataFrame:
     """Every item, once per kept match, with its score and record; unmatched items once, with nulls."""
     rule = SCORERS[settings.scorer]
@@ -90,9 +99,7 @@ def link(items: DataFrame, catalogue: DataFrame, records: DataFrame, settings: S
     else:
         described = catalogue.selectExpr("block", "id AS cand_id", "description")
         winners = (
-            best.join(described, ["block", "cand_id"])
-            .groupBy("block", "text", "description", "score")
-            .agg(F.min("rank").alias("rank"))
+            distinct_matches(best, described)
             .join(record_id_by_text(records, "matched_item"), "description", "left")
             .drop("description")
         )

@@ -9,8 +9,17 @@ from spendlink.schema import CHECKPOINT
 from spendlink.sources.readers import read_checkpoint
 
 
-def _write(df: DataFrame, path: str, fmt: str) -> None:
-    options = {"header": True, "escape": '"'} if fmt == "csv" else {}
+# Keep blanks and quotes as they are.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def write(df: DataFrame, path: str, fmt: str) -> None:
+    options = CSV_OPTIONS if fmt == "csv" else {}
     df.write.mode("overwrite").format(fmt).options(**options).save(path)
 
 
@@ -32,7 +41,7 @@ def flat(df: DataFrame) -> DataFrame:
 def write_checkpoint(items: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """Write the enriched items once and go on from the written table, so nothing upstream runs twice."""
     kept = items.select(*(F.col(f.name).cast(f.dataType) for f in CHECKPOINT))
-    _write(flat(kept) if fmt == "csv" else kept, path, fmt)
+    write(flat(kept) if fmt == "csv" else kept, path, fmt)
     return read_checkpoint(items.sparkSession, path, fmt)
 
 
@@ -43,7 +52,7 @@ def result_path(output: str, project: str, threshold: int, mode: str) -> str:
 
 def write_result(df: DataFrame, output: str, project: str, threshold: int, mode: str, fmt: str = "parquet") -> str:
     path = result_path(output, project, threshold, mode)
-    _write(flat(df) if fmt == "csv" else df, path, fmt)
+    write(flat(df) if fmt == "csv" else df, path, fmt)
     return path
 
 
@@ -60,4 +69,4 @@ def classifier_request(items: DataFrame, random_part_number: bool = False) -> Da
 
 
 def write_classifier_request(items: DataFrame, path: str) -> None:
-    _write(classifier_request(items), path, "csv")
+    write(classifier_request(items), path, "csv")
