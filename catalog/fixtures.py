@@ -6,14 +6,13 @@ The derivations are SQL expressions both dialects read alike; ``RELATIONS`` hold
 from __future__ import annotations
 
 import os
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlink.functions.normalize import fast_form
-from spendlink.sources.shared import ensure_checkpoint_dir
+from spendlink.sources.shared import new_path
 
 NAME_TYPE = "p_name || ' ' || p_type"
 TYPE_NAME = "p_type || ' ' || p_name"
@@ -172,7 +171,7 @@ class Inputs:
 
     def scratch(self, name: str) -> str:
         """A new folder under the session's shared folder."""
-        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/spendlink-{name}-{uuid.uuid4().hex}"
+        return new_path(self.spark, name)
 
     @cached_property
     def part(self) -> DataFrame:

@@ -17,6 +17,7 @@ from spendlink.operators import dedup, keywords, lookup, match, priority, produc
 from spendlink.plans import enrich, price, run
 from spendlink.plans.price import Settings
 from spendlink.sources import readers, sinks
+from spendlink.sources.shared import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -956,7 +957,7 @@ def run_mode(t: Inputs, items: DataFrame, mode: str, scorer: str, threshold: int
         "unique_products_unspsc": t.class_products, "unique_products": t.maker_products,
         "price_info": t.prices, "price_info_new": t.new_spend,
     }
-    return run.match_prices(job, items, t.priority, tables.__getitem__)
+    return run.match_prices(job, materialize(items, "cleaned"), t.priority, tables.__getitem__)
 
 
 RUN_COLUMNS = ["row_id", "tag", "CAST(priority_flag AS INT) AS priority_flag", "priority_accuracy", "priority_desc"]
@@ -981,8 +982,7 @@ def _(t):
     rows = classified.withColumns({**blank, "ndc_accuracy": F.lit(None).cast("double")})
     path = t.scratch("checkpoint")
     sinks.write_checkpoint(rows, path)
-    resumed = readers.read_checkpoint(t.spark, path)
-    return run_mode(t, resumed, "UNSPSC_CODE", "FAST_FUZZY", 70).select(
+    return run_mode(t, readers.read_checkpoint(t.spark, path), "UNSPSC_CODE", "FAST_FUZZY", 70).select(
         "key", "tag", "class_code", "accuracy", "rank", "matched_item", "mean_price"
     )
 

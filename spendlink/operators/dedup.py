@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendlink.functions.clean import composite_key
-from spendlink.sources.shared import ensure_checkpoint_dir
+from spendlink.sources.shared import materialize
 
 SLOT_BITS = 33
 
@@ -29,19 +29,17 @@ def surrogate_ids(df: DataFrame, key: str = "key", out: str = "pim") -> DataFram
     """``(key, id)`` with ids 0, 1, 2, ... in key order over the distinct keys.
 
     Range partitioning puts the keys in order across partitions; ``monotonically_increasing_id`` numbers them inside
-    each partition. The numbered keys are checkpointed, because partition sizes and numbering must come from one and
+    each partition. The numbered keys are written out, because partition sizes and numbering must come from one and
     the same placement. Only one row per partition goes through the offset window.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
+    placed = materialize(
         df.select(key)
         .distinct()
         .repartitionByRange(key)
         .sortWithinPartitions(key)
-        .withColumn("slot", F.monotonically_increasing_id())
-        .checkpoint()
-        .selectExpr(f"`{key}`", f"shiftright(slot, {SLOT_BITS}) AS part", f"slot & {(1 << SLOT_BITS) - 1} AS place")
-    )
+        .withColumn("slot", F.monotonically_increasing_id()),
+        "slots",
+    ).selectExpr(f"`{key}`", f"shiftright(slot, {SLOT_BITS}) AS part", f"slot & {(1 << SLOT_BITS) - 1} AS place")
     sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))

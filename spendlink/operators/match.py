@@ -2,7 +2,9 @@
 
 The join never lists the pairs of a block. Both sides' distinct texts are dealt to *meetings* of bounded size:
 
-1. distinct texts per block (partial aggregation removes repeated descriptions before the shuffle);
+1. distinct texts per block (partial aggregation removes repeated descriptions before the shuffle). With ``k = 1`` an
+   item text that is also a candidate text is settled here by an equi-join on the partitioning both sides already have:
+   no other text can round to 100;
 2. a small directory per block: number, shortest and longest length of the texts of each length band, on both sides.
    Blocks that exist on one side only stop here;
 3. each side of a block is cut into tiles of bounded size, by length band and text hash, so a block with a third of
@@ -81,10 +83,12 @@ def _smallest_ids(candidates: DataFrame, keys: list[str], k: int) -> DataFrame:
 def _directory(texts: DataFrame, keys: list[str], item_tile: int, candidate_tile: int) -> DataFrame:
     """Tile groups of both sides per block. A block has at most some 60 bands, whatever its size."""
     sides = {"item": item_tile, "cand": candidate_tile}
+    # Counting candidates by id keeps the column in this branch, so both uses of the distinct texts share one shuffle.
+    counted = {"item": "count(text)", "cand": "count(cand_id)"}
     per_band = [
         F.expr(f"{function} filter (where side = '{side}') AS {side}_{name}")
         for side in sides
-        for name, function in (("n", "count(*)"), ("lo", "min(len)"), ("hi", "max(len)"))
+        for name, function in (("n", counted[side]), ("lo", "min(len)"), ("hi", "max(len)"))
     ]
     per_block = [
         F.expr(f"{function}({side}_{name}) AS {side}_{column}")
@@ -144,6 +148,13 @@ def best_matches(
     columns = [*block, "coalesce(text, '') AS text"] if block else ["0 AS everything", "coalesce(text, '') AS text"]
     left = items.selectExpr(*columns).dropna(subset=block or keys).distinct()
     right = _smallest_ids(candidates.selectExpr(*columns, "cand_id").dropna(subset=keys), [*keys, "text"], k)
+    settled = None
+    if k == 1:
+        # 100 * (n - 1) / n rounds to less than 100 up to this combined length.
+        short = f"2 * length(text) < {200 * 10**digits} AND equal_id IS NOT NULL"
+        left = left.join(right.withColumnRenamed("cand_id", "equal_id"), [*keys, "text"], "left")
+        settled = left.filter(short).selectExpr(*keys, "text", "equal_id AS cand_id", "100D AS score")
+        left = left.filter(f"NOT ({short})").drop("equal_id")
     measured = ["text", "length(text) AS len", f"int(floor(log2(length(text) + 1) * {BANDS_PER_OCTAVE})) AS band"]
     texts = left.selectExpr(*keys, *measured, "'item' AS side").unionByName(
         right.selectExpr(*keys, *measured, "'cand' AS side", "cand_id"), allowMissingColumns=True
@@ -169,4 +180,6 @@ def best_matches(
     )
     best = Window.partitionBy(*keys, "text").orderBy(F.desc("score"), "cand_id")
     ranked = hits.withColumn("rank", F.row_number().over(best)).filter(f"rank <= {k}")
+    if settled is not None:
+        ranked = ranked.unionByName(settled.withColumn("rank", F.lit(1)))
     return ranked if block else ranked.drop("everything")

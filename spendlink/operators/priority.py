@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spendlink.functions.tags import promote_if
 from spendlink.operators.lookup import left_attach
 from spendlink.operators.match import SCORERS, best_matches
+from spendlink.sources.shared import materialize
 
 
 def priority_entries(priority: DataFrame, scorer: str) -> DataFrame:
@@ -30,7 +31,11 @@ def match_priority(items: DataFrame, priority: DataFrame, *, scorer: str, cutoff
         cutoff=cutoff,
         digits=rule.digits,
     )
-    named = best.join(entries, "cand_id").selectExpr("text AS _text", "score AS priority_accuracy", "priority_desc")
+    # Few rows, and both the items and the later price blocks depend on them.
+    named = materialize(
+        best.join(entries, "cand_id").selectExpr("text AS _text", "score AS priority_accuracy", "priority_desc"),
+        "priority-matches",
+    )
     flagged = left_attach(keyed, named, ["_text"]).drop("_text")
     return flagged.withColumn("priority_flag", F.col("priority_accuracy").isNotNull()).withColumn(
         "tag", promote_if(F.col("tag"), F.col("priority_flag"))

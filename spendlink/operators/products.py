@@ -9,6 +9,7 @@ from spendlink.functions.normalize import fuzzy_form
 from spendlink.functions.tags import DRUG
 from spendlink.operators.lookup import left_attach
 from spendlink.operators.match import best_matches
+from spendlink.sources.shared import materialize
 
 GRAM = 3
 # Order of the fields in the text a description is scored against; a missing field reads "None".
@@ -22,21 +23,29 @@ RECORD_FIELDS = (
 )
 
 
-def _grams(text: str, size: str) -> str:
-    return f"array_distinct(transform(sequence(1, length({text}) - ({size}) + 1), i -> substring({text}, i, {size})))"
+def _grams(chars: str, size: int) -> str:
+    """Distinct grams of one size from an array of characters."""
+    joined = " || ".join(["c", *(f"{chars}[i + {n}]" for n in range(1, size))])
+    return f"array_distinct(transform(slice({chars}, 1, greatest(size({chars}) - {size - 1}, 0)), (c, i) -> {joined}))"
+
+
+def _gram_rows(texts: DataFrame, keep: str, text: str, grams: str) -> DataFrame:
+    return texts.selectExpr(keep, f"split({text}, '') AS chars").selectExpr(keep, f"explode({grams}) AS gram")
 
 
 def contains_join(needles: DataFrame, names: DataFrame) -> DataFrame:
     """All ``(needle, name)`` with the needle inside the name, as equi-joins.
 
-    Each needle probes with its rarest trigram only (its whole text if shorter); candidates are then verified. Needles
-    with a trigram no name has never reach the verification.
+    Each needle probes with its rarest trigram only (its whole text if shorter); the pairs found are then verified.
+    Grams carry a digest of the name, not the name, so long names are shuffled once and not once per gram. A needle
+    with a trigram no name has is dropped before the join.
     """
     needles = needles.select("needle").filter("needle <> ''").distinct()
-    names = names.select("name").filter("name <> ''").distinct()
-    needle_grams = needles.selectExpr("needle", f"explode({_grams('needle', f'least({GRAM}, length(needle))')}) AS gram")
-    sizes = ", ".join(f"if(length(name) >= {n}, {_grams('name', str(n))}, array())" for n in range(1, GRAM + 1))
-    name_grams = names.selectExpr("name", f"explode(concat({sizes})) AS gram").join(
+    names = names.select("name").filter("name <> ''").distinct().selectExpr("unhex(md5(name)) AS digest", "name")
+    longest = f"CASE size(chars) WHEN 1 THEN {_grams('chars', 1)} WHEN 2 THEN {_grams('chars', 2)}"
+    needle_grams = _gram_rows(needles, "needle", "needle", f"{longest} ELSE {_grams('chars', GRAM)} END")
+    every_size = ", ".join(_grams("chars", n) for n in range(1, GRAM + 1))
+    name_grams = _gram_rows(names, "digest", "name", f"concat({every_size})").join(
         needle_grams.select("gram").distinct(), "gram", "left_semi"
     )
     frequency = name_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
@@ -47,7 +56,16 @@ def contains_join(needles: DataFrame, names: DataFrame) -> DataFrame:
         .filter("rarest.n > 0")
         .selectExpr("needle", "rarest.gram AS gram")
     )
-    return probes.join(name_grams, "gram").filter("contains(name, needle)").select("needle", "name")
+    suspects = probes.join(name_grams, "gram").select("needle", "digest")
+    return suspects.join(names, "digest").filter("contains(name, needle)").select("needle", "name")
+
+
+def with_content_id(products: DataFrame) -> DataFrame:
+    """A table without ``id`` gets a digest of its columns, so that ties fall the same way in every run."""
+    if "id" in products.columns:
+        return products
+    fields = ", ".join(f"`{c}`" for c in products.columns)
+    return products.distinct().selectExpr(f"sha2(to_json(struct({fields})), 256) AS id", "*")
 
 
 def products_by_name(drugs: DataFrame, products: DataFrame, name_columns: list[str]) -> DataFrame:
@@ -98,8 +116,8 @@ FIELDS = [
 
 def match_products(drug_texts: DataFrame, human: DataFrame, animal: DataFrame) -> DataFrame:
     """Product fields per ``(drug_name, text)``; animal products only for drugs without a human one, unscored."""
-    drugs = drug_texts.select("drug_name").filter("drug_name <> ''").distinct()
-    hits = products_by_name(drugs, human, ["proprietaryname", "nonproprietaryname"])
+    drugs = drug_texts.select("drug_name").distinct()
+    hits = materialize(products_by_name(drugs, human, ["proprietaryname", "nonproprietaryname"]), "product-hits")
     scored = human_matches(drug_texts, hits, human)
     unmatched = drugs.join(hits.select("drug_name").distinct(), "drug_name", "left_anti")
     fallback = animal_matches(unmatched, animal).withColumn("ndc_accuracy", F.lit(None).cast("double"))
@@ -110,7 +128,11 @@ def match_products(drug_texts: DataFrame, human: DataFrame, animal: DataFrame) -
 
 
 def attach_products(items: DataFrame, human: DataFrame, animal: DataFrame) -> DataFrame:
-    """NDC fields for items tagged as drugs; null elsewhere."""
+    """NDC fields for items tagged as drugs; null elsewhere.
+
+    The distinct drug texts and the substring hits are each used several times, so they are written out once.
+    """
+    human, animal = with_content_id(human), with_content_id(animal)
     keyed = items.withColumns(
         {
             "_drug": F.expr(f"if(tag = '{DRUG}' AND drug_name <> '', drug_name, null)"),
@@ -118,5 +140,6 @@ def attach_products(items: DataFrame, human: DataFrame, animal: DataFrame) -> Da
         }
     )
     texts = keyed.filter("_drug IS NOT NULL").selectExpr("_drug AS drug_name", "_text AS text").distinct()
+    texts = materialize(texts, "drug-texts")
     found = match_products(texts, human, animal).withColumnsRenamed({"drug_name": "_drug", "text": "_text"})
     return left_attach(keyed, found, ["_drug", "_text"]).drop("_drug", "_text")

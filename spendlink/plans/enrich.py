@@ -12,6 +12,7 @@ from spendlink.operators.dedup import mark_duplicates, with_key, with_surrogate_
 from spendlink.operators.keywords import tag_keywords
 from spendlink.operators.lookup import attach_class_code, canonical_manufacturer
 from spendlink.operators.products import attach_products
+from spendlink.sources.shared import materialize
 from spendlink.sources.sinks import classifier_request
 
 
@@ -50,7 +51,10 @@ def enrich(
     human: DataFrame,
     animal: DataFrame,
 ) -> DataFrame:
-    """All enrichment steps. ``classify`` turns the classifier request into predictions ``(pim_key, first)``."""
-    numbered = with_surrogate_id(prepare(items, aliases, keywords))
+    """All enrichment steps. ``classify`` turns the classifier request into predictions ``(pim_key, first)``.
+
+    The prepared items feed the ids, the request, the product lookup and the result, so they are written out once.
+    """
+    numbered = with_surrogate_id(materialize(prepare(items, aliases, keywords), "prepared"))
     predictions = classify(classifier_request(numbered))
     return attach_products(attach_class_code(numbered, predictions), human, animal)
