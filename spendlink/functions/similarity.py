@@ -17,6 +17,7 @@ from pyspark.sql.functions import arrow_udf
 from spendlink.functions.normalize import fast_form, fuzzy_form
 
 WORD = 64
+MAX_WORDS = 16
 SIGNATURE_WORDS = 2
 SLICE_PAIRS = 1 << 16
 MASK_CELLS = 1 << 22
@@ -36,14 +37,13 @@ class Texts:
         strings = pc.fill_null(strings, "")
         self.strings = strings
         self.length = pc.utf8_length(strings).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.start = np.concatenate(([0], np.cumsum(self.length)[:-1])) if len(self.length) else self.length
-        joined = "".join(strings.to_pylist())
-        self.points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+        self.start = np.cumsum(self.length) - self.length
+        self.points = np.frombuffer("".join(strings.to_pylist()).encode("utf-32-le"), dtype=np.uint32)
         self.signature = self._signatures()
 
     def _signatures(self):
         """One bit per hashed (character, n-th occurrence). A bit set on one side only proves a character unmatched."""
-        out = np.zeros((len(self.length), SIGNATURE_WORDS), dtype=np.uint64)
+        out = np.zeros((SIGNATURE_WORDS, len(self.length)), dtype=np.uint64)
         if not len(self.points):
             return out
         owner = np.repeat(np.arange(len(self.length)), self.length)
@@ -57,66 +57,89 @@ class Texts:
         filled = np.flatnonzero(self.length)
         for w in range(SIGNATURE_WORDS):
             bits = np.where(slot // WORD == w, np.uint64(1) << (slot % WORD).astype(np.uint64), np.uint64(0))
-            out[filled, w] = np.bitwise_or.reduceat(bits, self.start[filled])
+            out[w, filled] = np.bitwise_or.reduceat(bits, self.start[filled])
         return out
 
+    def positions(self, rows):
+        """Row number, position in the row and code point of every character of the given rows."""
+        n = self.length[rows]
+        row = np.repeat(np.arange(len(rows)), n)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        return row, place, self.points[self.start[rows][row] + place]
+
 
 def lcs_bound(a: Texts, b: Texts, i, j):
     """Upper bound of the LCS length from lengths and signatures."""
-    missing_a = np.zeros(len(i), dtype=np.int64)
-    missing_b = np.zeros(len(i), dtype=np.int64)
+    only_a = np.zeros(len(i), dtype=np.int16)
+    only_b = np.zeros(len(i), dtype=np.int16)
     for w in range(SIGNATURE_WORDS):
-        sa, sb = a.signature[i, w], b.signature[j, w]
-        missing_a += np.bitwise_count(sa & ~sb)
-        missing_b += np.bitwise_count(sb & ~sa)
-    return np.minimum(a.length[i] - missing_a, b.length[j] - missing_b)
-
-
-def _lcs_one_word(pattern: Texts, text: Texts, i, j):
-    """Pairs whose pattern fits one machine word; the text may have any length."""
-    rows, row_of = np.unique(i, return_inverse=True)
-    cols = np.unique(j)
-    n_pat = pattern.length[rows]
-    pat_row = np.repeat(np.arange(len(rows)), n_pat)
-    pat_pos = np.arange(n_pat.sum()) - np.repeat(np.cumsum(n_pat) - n_pat, n_pat)
-    pat_points = pattern.points[pattern.start[rows][pat_row] + pat_pos]
+        sa, sb = a.signature[w].take(i), b.signature[w].take(j)
+        differing = sa ^ sb
+        only_a += np.bitwise_count(differing & sa)
+        only_b += np.bitwise_count(differing & sb)
+    return np.minimum(a.length.take(i) - only_a, b.length.take(j) - only_b)
+
+
+def _renumber(values, size: int):
+    """Distinct values in order, and the place of each value among them."""
+    used = np.zeros(size, dtype=bool)
+    used[values] = True
+    distinct = np.flatnonzero(used)
+    place = np.empty(size, dtype=np.int64)
+    place[distinct] = np.arange(len(distinct))
+    return distinct, place[values]
+
+
+def _lcs_words(pattern: Texts, text: Texts, i, j, words: int):
+    """Pairs whose pattern fits the given number of machine words; the text may have any length."""
+    rows, row_of = _renumber(i, len(pattern.length))
+    cols, col_of = _renumber(j, len(text.length))
+    pat_row, pat_pos, pat_points = pattern.positions(rows)
     alphabet, pat_code = np.unique(pat_points, return_inverse=True)
     # Column 0 stands for every character absent from the patterns.
-    masks = np.zeros((len(rows), len(alphabet) + 1), dtype=np.uint64)
-    np.bitwise_or.at(masks, (pat_row, pat_code + 1), np.uint64(1) << pat_pos.astype(np.uint64))
-
-    width = int(text.length[cols].max(initial=0))
-    col_of = np.searchsorted(cols, j)
-    codes = np.zeros((width, len(cols)), dtype=np.int32)
+    masks = np.zeros((words, len(rows), len(alphabet) + 1), dtype=np.uint64)
+    np.bitwise_or.at(masks, (pat_pos // WORD, pat_row, pat_code + 1), np.uint64(1) << (pat_pos % WORD).astype(np.uint64))
     n_txt = text.length[cols]
-    txt_col = np.repeat(np.arange(len(cols)), n_txt)
-    txt_pos = np.arange(n_txt.sum()) - np.repeat(np.cumsum(n_txt) - n_txt, n_txt)
-    txt_points = text.points[text.start[cols][txt_col] + txt_pos]
+    width = int(n_txt.max(initial=0))
+    codes = np.zeros((width, len(cols)), dtype=np.int32)
+    txt_col, txt_pos, txt_points = text.positions(cols)
     if len(alphabet):
         at = np.minimum(np.searchsorted(alphabet, txt_points), len(alphabet) - 1)
         codes[txt_pos, txt_col] = np.where(alphabet[at] == txt_points, at + 1, 0)
 
     # Longest texts first, so that the pairs still running are a prefix.
-    order = np.argsort(-n_txt[col_of], kind="stable")
+    order = np.argsort((width - n_txt)[col_of].astype(np.uint16 if width < 1 << 16 else np.int64), kind="stable")
     row_of, col_of = row_of[order], col_of[order]
     running = np.searchsorted(-n_txt[col_of], -np.arange(width), side="left")
-    flat, stride = masks.ravel(), masks.shape[1]
-    base = row_of.astype(np.int64) * stride
-    v = np.full(len(order), ALL_ONES)
+    flat = masks.reshape(words, -1)
+    base = row_of * masks.shape[2]
+    v = np.full((words, len(order)), ALL_ONES)
     for p in range(width):
         n = running[p]
-        m = flat[base[:n] + codes[p, col_of[:n]]]
-        u = v[:n] & m
-        v[:n] = (v[:n] + u) | (v[:n] - u)
-    length = n_pat[row_of].astype(np.uint64)
-    low = np.where(length >= WORD, ALL_ONES, (np.uint64(1) << (length % np.uint64(WORD))) - np.uint64(1))
-    out = np.empty(len(order), dtype=np.int64)
-    out[order] = np.bitwise_count(~v & low)
+        at = base[:n] + codes[p].take(col_of[:n])
+        carry = None
+        for w in range(words):
+            old, m = v[w, :n], flat[w].take(at)
+            u = old & m
+            total = old + u
+            if words > 1:
+                over = total < u
+                if carry is not None:
+                    total += carry
+                    over |= total < carry
+                carry = over.astype(np.uint64)
+            v[w, :n] = total | (old ^ u)
+    out = np.zeros(len(order), dtype=np.int64)
+    length = pattern.length[rows][row_of]
+    for w in range(words):
+        left = np.clip(length - w * WORD, 0, WORD).astype(np.uint64)
+        low = np.where(left >= WORD, ALL_ONES, (np.uint64(1) << (left % np.uint64(WORD))) - np.uint64(1))
+        out[order] += np.bitwise_count(~v[w] & low)
     return out
 
 
 def _lcs_long(pattern: Texts, text: Texts, i, j):
-    """Pairs with both texts beyond one word: the same recurrence on Python integers, whole texts."""
+    """Pairs of very long texts: the same recurrence on Python integers, whole texts."""
     out = np.empty(len(i), dtype=np.int64)
     masks, current = {}, -1
     for at in np.argsort(i, kind="stable"):
@@ -135,17 +158,22 @@ def _lcs_long(pattern: Texts, text: Texts, i, j):
 
 
 def lcs_lengths(a: Texts, b: Texts, i, j):
-    """LCS length of each pair ``a[i], b[j]``."""
+    """LCS length of each pair ``a[i], b[j]``; the shorter text is the pattern."""
     out = np.empty(len(i), dtype=np.int64)
-    a_fits = a.length[i] <= WORD
-    b_fits = ~a_fits & (b.length[j] <= WORD)
-    rest = ~a_fits & ~b_fits
-    if a_fits.any():
-        out[a_fits] = _lcs_one_word(a, b, i[a_fits], j[a_fits])
-    if b_fits.any():
-        out[b_fits] = _lcs_one_word(b, a, j[b_fits], i[b_fits])
-    if rest.any():
-        out[rest] = _lcs_long(a, b, i[rest], j[rest])
+    la, lb = a.length[i], b.length[j]
+    swap = lb < la
+    needed = np.maximum(-(-np.minimum(la, lb) // WORD), 1)
+    words = 1 << np.ceil(np.log2(needed)).astype(int)
+    for side, (pattern, text, pi, ti) in ((False, (a, b, i, j)), (True, (b, a, j, i))):
+        for size in np.unique(words[swap == side]):
+            group = np.flatnonzero((swap == side) & (words == size))
+            step = max(256, len(i) // int(size))
+            for at in range(0, len(group), step):
+                part = group[at : at + step]
+                if size <= MAX_WORDS:
+                    out[part] = _lcs_words(pattern, text, pi[part], ti[part], int(size))
+                else:
+                    out[part] = _lcs_long(pattern, text, pi[part], ti[part])
     return out
 
 

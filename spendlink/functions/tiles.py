@@ -22,12 +22,41 @@ def _lists(column: pa.ListArray):
     return column.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets[:-1] - offsets[0], np.diff(offsets)
 
 
-def _top_k(group, score, tie, k: int):
-    """Positions of the k best of each group: score descending, then tie ascending."""
-    order = np.lexsort((tie, -score, group))
-    grouped = group[order]
-    first = np.searchsorted(grouped, grouped, side="left")
-    return order[np.arange(len(order)) - first < k]
+def _top_k(group, score, k: int):
+    """Positions of the k best of each group, earlier positions first among equals. Groups come in ascending order."""
+    if not len(group):
+        return np.empty(0, dtype=np.int64)
+    start = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    if k == 1:
+        size = np.diff(np.append(start, len(group)))
+        top = np.flatnonzero(score == np.repeat(np.maximum.reduceat(score, start), size))
+        return top[np.concatenate(([True], group[top[1:]] != group[top[:-1]]))]
+    order = np.lexsort((-score, group))
+    first = np.searchsorted(group, group, side="left")
+    return np.sort(order[np.arange(len(order)) - first < k])
+
+
+def _rank_slice(a: Texts, b: Texts, i, j, digits: int, cutoff: float, k: int):
+    """Positions and scores of the hits among the pairs ``(i, j)``; ``i`` ascending, ``j`` ascending within ``i``."""
+    size = a.length.take(i) + b.length.take(j)
+    slack = 0.5 / 10**digits + 1e-9
+    bound = np.where(size > 0, 200.0 * lcs_bound(a, b, i, j) / np.maximum(size, 1), 100.0) + slack
+    alive = np.flatnonzero(bound >= cutoff)
+    i, j, size, bound = i[alive], j[alive], size[alive], bound[alive]
+    # The k most promising pairs of each item first; the rest only if they could still reach the k-th score.
+    probe = _top_k(i, bound, k)
+    score = np.full(len(i), -1.0)
+    score[probe] = percent(lcs_lengths(a, b, i[probe], j[probe]), size[probe], digits)
+    member = np.cumsum(np.concatenate(([False], i[1:] != i[:-1]))) if len(i) else np.empty(0, dtype=np.int64)
+    groups = int(member[-1]) + 1 if len(i) else 0
+    floor = np.full(groups, np.inf)
+    np.minimum.at(floor, member[probe], score[probe])
+    floor[np.bincount(member, minlength=groups) < k] = -1.0
+    rest = np.flatnonzero((score < 0) & (bound >= floor[member]))
+    score[rest] = percent(lcs_lengths(a, b, i[rest], j[rest]), size[rest], digits)
+    good = np.flatnonzero((score >= 0) & (score >= cutoff))
+    good = good[_top_k(i[good], score[good], k)]
+    return alive[good], score[good]
 
 
 def best_in_tile(items: Column, candidates: Column, digits: int, cutoff: float, k: int) -> Column:
@@ -40,43 +69,19 @@ def best_in_tile(items: Column, candidates: Column, digits: int, cutoff: float,
         a, b = Texts(left_texts), Texts(right_texts)
         ends = np.cumsum(left_n.astype(np.int64) * right_n)
         total, step = int(ends[-1]) if len(ends) else 0, slice_pairs(a, b)
-        parts = []
+        parts = [(np.empty(0, np.int64),) * 3 + (np.empty(0),)]
         for at in range(0, total, step):
             pair = np.arange(at, min(at + step, total))
             row = np.searchsorted(ends, pair, side="right")
-            inner = pair - (ends[row] - left_n[row].astype(np.int64) * right_n[row])
+            inner = pair - (ends - left_n.astype(np.int64) * right_n)[row]
             i = left_at[row] + inner // right_n[row]
             j = right_at[row] + inner % right_n[row]
-            size = a.length[i] + b.length[j]
-            bound = percent(lcs_bound(a, b, i, j), size, digits)
-            alive = np.flatnonzero(bound >= cutoff)
-            i, j, row, size, bound = i[alive], j[alive], row[alive], size[alive], bound[alive]
-
-            # The k most promising pairs of each item first; the rest only if they could still reach the k-th score.
-            probe = _top_k(i, bound, j, k)
-            score = np.full(len(i), -1.0)
-            score[probe] = percent(lcs_lengths(a, b, i[probe], j[probe]), size[probe], digits)
-            group, member = np.unique(i, return_inverse=True)
-            floor = np.full(len(group), np.inf)
-            np.minimum.at(floor, member[probe], score[probe])
-            floor[np.bincount(member, minlength=len(group)) < k] = -1.0
-            rest = np.flatnonzero((score < 0) & (bound >= floor[member]))
-            score[rest] = percent(lcs_lengths(a, b, i[rest], j[rest]), size[rest], digits)
-
-            good = np.flatnonzero((score >= 0) & (score >= cutoff))
-            good = good[_top_k(i[good], score[good], j[good], k)]
-            parts.append((row[good], i[good] - left_at[row[good]], j[good] - right_at[row[good]], score[good]))
-
-        row, i, j, score = (np.concatenate(p) for p in zip(*parts)) if parts else (np.empty(0, int),) * 4
-        order = np.argsort(row, kind="stable")
+            hit, score = _rank_slice(a, b, i, j, digits, cutoff, k)
+            parts.append((row[hit], i[hit] - left_at[row[hit]], j[hit] - right_at[row[hit]], score))
+        row, i, j, score = (np.concatenate(p) for p in zip(*parts))
         offsets = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(left)))))
         hits = pa.StructArray.from_arrays(
-            [
-                pa.array(i[order], pa.int32()),
-                pa.array(j[order], pa.int32()),
-                pa.array(score[order].astype(float), pa.float64()),
-            ],
-            names=["i", "j", "score"],
+            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(score, pa.float64())], names=["i", "j", "score"]
         )
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), hits)
 

@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 from spendlink.functions.normalize import fast_form, fuzzy_form
 from spendlink.functions.tiles import best_in_tile
 
-ITEM_TILE = 512
-CANDIDATE_TILE = 512
+# Texts per tile. A text longer than LONG characters counts for several, which bounds bytes and work per meeting too.
+ITEM_TILE = 1024
+CANDIDATE_TILE = 2048
+LONG = 256
 BANDS_PER_OCTAVE = 4
 
 
@@ -51,10 +53,10 @@ SCORERS = {
 
 # Tile groups of one side of a block: one group if a single tile holds the side, else one group per length band.
 GROUPS = """
-    if({side}_total <= {tile_size},
+    if({side}_load <= {tile_size},
        array(named_struct('band', -1, 'tiles', 1L, 'lo', {side}_lo, 'hi', {side}_hi)),
        transform(filter(bands, e -> e.{side}_n > 0),
-                 e -> named_struct('band', e.band, 'tiles', ceil(e.{side}_n / {tile_size}),
+                 e -> named_struct('band', e.band, 'tiles', ceil(e.{side}_load / {tile_size}),
                                    'lo', e.{side}_lo, 'hi', e.{side}_hi))) AS {side}_groups
 """
 
@@ -81,21 +83,23 @@ def _smallest_ids(candidates: DataFrame, keys: list[str], k: int) -> DataFrame:
 
 
 def _directory(texts: DataFrame, keys: list[str], item_tile: int, candidate_tile: int) -> DataFrame:
-    """Tile groups of both sides per block. A block has at most some 60 bands, whatever its size."""
+    """Tile groups of both sides per block. A block has four bands per doubling of length, whatever its size."""
     sides = {"item": item_tile, "cand": candidate_tile}
     # Counting candidates by id keeps the column in this branch, so both uses of the distinct texts share one shuffle.
     counted = {"item": "count(text)", "cand": "count(cand_id)"}
     per_band = [
         F.expr(f"{function} filter (where side = '{side}') AS {side}_{name}")
         for side in sides
-        for name, function in (("n", counted[side]), ("lo", "min(len)"), ("hi", "max(len)"))
+        for name, function in (
+            ("n", counted[side]), ("lo", "min(len)"), ("hi", "max(len)"), ("load", f"sum(greatest(1D, len / {LONG}))")
+        )
     ]
     per_block = [
         F.expr(f"{function}({side}_{name}) AS {side}_{column}")
         for side in sides
-        for function, name, column in (("sum", "n", "total"), ("min", "lo", "lo"), ("max", "hi", "hi"))
+        for function, name, column in (("sum", "n", "total"), ("min", "lo", "lo"), ("max", "hi", "hi"), ("sum", "load", "load"))
     ]
-    entry = "struct(band, item_n, item_lo, item_hi, cand_n, cand_lo, cand_hi)"
+    entry = "struct(" + ", ".join(["band", *(f"{s}_{m}" for s in sides for m in ("n", "lo", "hi", "load"))]) + ")"
     return (
         texts.groupBy(*keys, "band")
         .agg(*per_band)
