@@ -20,8 +20,13 @@ def priority_entries(priority: DataFrame, scorer: str) -> DataFrame:
     )
 
 
-def match_priority(items: DataFrame, priority: DataFrame, *, scorer: str, cutoff: float) -> DataFrame:
-    """Adds ``priority_flag``, ``priority_accuracy`` and ``priority_desc``; a flagged untagged item becomes a drug."""
+def match_priority(
+    items: DataFrame, priority: DataFrame, *, scorer: str, cutoff: float, reused: bool = False
+) -> DataFrame:
+    """Adds ``priority_flag``, ``priority_accuracy`` and ``priority_desc``; a flagged untagged item becomes a drug.
+
+    ``reused`` writes the matches out first, for callers that need the new tag more than once.
+    """
     rule = SCORERS[scorer]
     entries = priority_entries(priority, scorer)
     keyed = items.withColumn("_text", rule.item_form(F.coalesce("item_description", F.lit(""))))
@@ -31,11 +36,9 @@ def match_priority(items: DataFrame, priority: DataFrame, *, scorer: str, cutoff
         cutoff=cutoff,
         digits=rule.digits,
     )
-    # Few rows, and both the items and the later price blocks depend on them.
-    named = materialize(
-        best.join(entries, "cand_id").selectExpr("text AS _text", "score AS priority_accuracy", "priority_desc"),
-        "priority-matches",
-    )
+    named = best.join(entries, "cand_id").selectExpr("text AS _text", "score AS priority_accuracy", "priority_desc")
+    if reused:
+        named = materialize(named, "priority-matches")
     flagged = left_attach(keyed, named, ["_text"]).drop("_text")
     return flagged.withColumn("priority_flag", F.col("priority_accuracy").isNotNull()).withColumn(
         "tag", promote_if(F.col("tag"), F.col("priority_flag"))

@@ -63,7 +63,9 @@ class Tables:
 
 def match_prices(job: Job, items: DataFrame, priority: DataFrame, table) -> DataFrame:
     """Priority match, then the price match of the mode. ``table`` gives a reference table by name."""
-    flagged = match_priority(items, priority, scorer=job.scorer, cutoff=job.threshold)
+    # Only the manufacturer mode routes by the tag, so only there the price match depends on the priority match.
+    by_tag = job.mode == "MANUFACTURER"
+    flagged = match_priority(items, priority, scorer=job.scorer, cutoff=job.threshold, reused=by_tag)
     if job.mode == "UNSPSC_CODE":
         return match_by_class_code(flagged, table("unique_products_unspsc"), table("price_info"), job.settings)
     if job.mode == "MANUFACTURER":

@@ -156,3 +156,25 @@ def test_exact_case_option(spark):
     prices = price_frame(spark, [(1, "x", (1.0,) * 9, (1.0,) * 9)])
     assert price.price_by_manufacturer(items, catalogue, prices, Settings(50)).head().accuracy == 100.0
     assert price.price_by_manufacturer(items, catalogue, prices, Settings(50), exact_case=True).head().accuracy is None
+
+
+def test_a_hot_key_is_split_by_the_engine(spark):
+    """A third of the rows share one key: the join back is a skew join, not one long task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        many = spark.range(0, 60000, 1, 8).selectExpr("if(id % 3 = 0, 'hot', CAST(id AS STRING)) AS k", "sha2(CAST(id AS STRING), 256) AS pad")
+        extra = many.select("k").distinct().withColumn("n", F.length("k"))
+        joined = lookup.left_attach(many, extra, ["k"])
+        assert len(joined.collect()) == 60000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
