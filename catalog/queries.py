@@ -337,13 +337,13 @@ def _(t):
 )
 def _(t):
     routed = prepared(t).withColumn("block", F.expr(price.MANUFACTURER_ROUTE))
-    return routed.selectExpr("row_id", "split_part(block, ':', 1) AS route")
+    return routed.selectExpr("row_id", "if(coalesce(block, 'maker:') LIKE 'class:%', 'class', 'maker') AS route")
 
 
 @query(
     "f04_new_spend_route",
     "SELECT row_id, CASE WHEN drug_name <> '' THEN 'text:' || drug_name WHEN canonical_manufacturer <> ''"
-    " THEN 'maker:' || lower(canonical_manufacturer) ELSE 'text:' || item_description END AS block FROM prepared",
+    " THEN 'maker:' || lower(nullif(canonical_manufacturer, 'UNKNOWN')) ELSE 'text:' || item_description END AS block FROM prepared",
 )
 def _(t):
     return prepared(t).selectExpr("row_id", f"{price.NEW_SPEND_ROUTE} AS block")
@@ -353,6 +353,7 @@ FUZZY_ITEM = q.fuzzy_form("item_description")
 FAST_ITEM = q.fast_form("item_description")
 CLASS = "'class:' || CAST(CAST({} AS DOUBLE) AS VARCHAR)"
 MAKER = "'maker:' || lower({})"
+ITEM_MAKER = MAKER.format("nullif(canonical_manufacturer, 'UNKNOWN')")
 
 
 def item_side(block: str, form: str, source: str = "prepared") -> str:
@@ -571,7 +572,7 @@ for scorer, (label, cutoff) in VARIANTS.items():
         )
 
     by_class = (CLASS.format("class_code"), class_catalogue(scorer), PRICE_SQL, PRICE_COLUMNS)
-    by_maker = (MAKER.format("canonical_manufacturer"), maker_catalogue(scorer), PRICE_SQL, PRICE_COLUMNS)
+    by_maker = (ITEM_MAKER, maker_catalogue(scorer), PRICE_SQL, PRICE_COLUMNS)
 
     @query(f"j07_class_code_{label}", sql(*by_class, 1))
     def _(t, s=one):
@@ -592,7 +593,7 @@ for scorer, (label, cutoff) in VARIANTS.items():
         return price.spend_by_drug(prepared(t), t.new_spend, s).select("row_id", *SPEND_COLUMNS)
 
     by_spend_maker = (
-        MAKER.format("canonical_manufacturer"), spend_catalogue(MAKER.format("mfrcanonicalname"), scorer),
+        ITEM_MAKER, spend_catalogue(MAKER.format("mfrcanonicalname"), scorer),
         SPEND_SQL, SPEND_COLUMNS,
     )
 
@@ -857,7 +858,7 @@ def _(t):
 
 def mode_ctes(mode: str, scorer: str, cutoff: float, k: int, source: str) -> dict:
     """``linked`` for a composed mode over an item relation that has tag, drug name and canonical manufacturer."""
-    class_, maker = CLASS.format("class_code"), MAKER.format("canonical_manufacturer")
+    class_, maker = CLASS.format("class_code"), ITEM_MAKER
     if mode == "UNSPSC_CODE":
         return link_ctes(item_rows(class_, scorer, source), class_catalogue(scorer), PRICE_SQL, scorer, cutoff, k, source)
     if mode == "MANUFACTURER":

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendlink.operators.lookup import UNKNOWN
 from spendlink.operators.match import SCORERS, best_matches
 from spendlink.operators.record import effective_prices, fetch_by_id, new_spend_records, record_id_by_text
 
@@ -40,6 +41,11 @@ def maker_block(name: str, lower: bool = True) -> str:
     return f"concat('maker:', lower({name}))" if lower else f"concat('maker:', {name})"
 
 
+def item_maker_block(lower: bool = True) -> str:
+    """An unknown manufacturer matches nothing: the null block leaves the match before any shuffle."""
+    return maker_block(f"nullif(canonical_manufacturer, '{UNKNOWN}')", lower)
+
+
 def text_block(text: str) -> str:
     return f"concat('text:', {text})"
 
@@ -116,7 +122,7 @@ def price_by_manufacturer(
     items: DataFrame, maker_products: DataFrame, prices: DataFrame, settings: Settings, exact_case: bool = False
 ) -> DataFrame:
     """Both manufacturer names are lowered; ``exact_case`` compares the item's name as it stands."""
-    block = maker_block("canonical_manufacturer", lower=not exact_case)
+    block = item_maker_block(lower=not exact_case)
     return link(items, maker_entries(maker_products), effective_prices(prices), settings, block)
 
 
@@ -127,7 +133,7 @@ def spend_by_drug(items: DataFrame, spend: DataFrame, settings: Settings) -> Dat
 def spend_by_manufacturer(
     items: DataFrame, spend: DataFrame, settings: Settings, exact_case: bool = False
 ) -> DataFrame:
-    block = maker_block("canonical_manufacturer", lower=not exact_case)
+    block = item_maker_block(lower=not exact_case)
     return link(items, spend_maker_entries(spend), new_spend_records(spend), settings, block)
 
 
@@ -136,13 +142,13 @@ def spend_by_description(items: DataFrame, spend: DataFrame, settings: Settings)
 
 
 # Untagged items go by class code, tagged ones by manufacturer.
-MANUFACTURER_ROUTE = f"if(tag = '', {class_block('class_code')}, {maker_block('canonical_manufacturer')})"
+MANUFACTURER_ROUTE = f"if(tag = '', {class_block('class_code')}, {item_maker_block()})"
 
 # By drug name if there is one, else by manufacturer, else by the whole description. The drug name is the first token
 # of any description, so nearly all items take the first route.
 NEW_SPEND_ROUTE = (
     f"CASE WHEN drug_name <> '' THEN {text_block('drug_name')}"
-    f" WHEN canonical_manufacturer <> '' THEN {maker_block('canonical_manufacturer')}"
+    f" WHEN canonical_manufacturer <> '' THEN {item_maker_block()}"
     f" ELSE {text_block('item_description')} END"
 )
 

@@ -24,7 +24,8 @@ def _positional_csv(spark: SparkSession, path, names: list[str], header: bool, *
 def read_items(spark: SparkSession, path, fmt: str = "csv", **options) -> DataFrame:
     """All files of a folder (or a list of paths): three columns by position, header skipped, null as blank.
 
-    Adds ``source_file`` and ``row_id``. A file Spark cannot read fails the scan; none is read twice.
+    Adds ``source_file`` and ``row_id``. A file Spark cannot read fails the scan; none is read twice. Quoted line breaks
+    are kept, which makes a CSV file one task; pass ``multiLine=False`` for large files without them, or use Parquet.
     """
     if fmt == "csv":
         raw = spark.read.schema(ITEM_SHEET).options(**{"header": True, "multiLine": True, "escape": '"', **options}).csv(path)

@@ -158,6 +158,13 @@ def test_exact_case_option(spark):
     assert price.price_by_manufacturer(items, catalogue, prices, Settings(50), exact_case=True).head().accuracy is None
 
 
+def test_unknown_manufacturer_matches_nothing(spark):
+    items = spark.createDataFrame([("x", "UNKNOWN")], "item_description string, canonical_manufacturer string")
+    catalogue = spark.createDataFrame([(1, "Unknown", "x", "x")], "id long, mfrcanonicalname string, proddesc string, prodcleandesc string")
+    prices = price_frame(spark, [(1, "x", (1.0,) * 9, (1.0,) * 9)])
+    assert price.price_by_manufacturer(items, catalogue, prices, Settings(0)).head().accuracy is None
+
+
 def test_a_hot_key_is_split_by_the_engine(spark):
     """A third of the rows share one key: the join back is a skew join, not one long task."""
     settings = {
