@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlink.llm import bpe, chat, decontaminate, secrets, sharding
+from spendlink.llm import bpe, chat, decontaminate, lm, secrets, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity.query,
     "op2_chat_formatting": chat.query,
     "op4_bpe": bpe.query,
     "op6_feistel_sharding": sharding.query,
+    "op8_lm_scoring": lm.query,
     "op9_secret_scan": secrets.query,
     "op10_decontamination": decontaminate.query,
 }
