@@ -284,6 +284,18 @@ def _with_ids(docs, path, text_col, makers, drop=()):
     return map_arrow(docs, work, ", ".join(fields))
 
 
+def round_trip(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``n_tokens``, ``ids`` and ``decodes``: whether the ids decode to the text (null counts as empty)."""
+    kept = docs.drop("n_tokens", "ids", "decodes", "__sha")
+    checked = _with_ids(
+        kept.withColumn("__sha", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)),
+        path,
+        text_col,
+        [DIGEST[0], ("ids", "array<int>", lambda ids, codec: np.frombuffer(ids, "<u4").astype(np.int32)), ("__back", *DIGEST[2][1:])],
+    )
+    return checked.withColumn("decodes", F.col("__sha") == F.col("__back")).drop("__sha", "__back")
+
+
 def decoded(docs: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the text of the token ids in ``ids_col``; null ids give null."""
     vocab, name = read_vocabulary(path)

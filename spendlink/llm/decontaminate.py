@@ -132,7 +132,7 @@ def contamination(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text: str = "text", size: int = WINDOW, block: int = BLOCK,
 ) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items for every document row."""
+    """row (its monotonically increasing id), doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items."""
     narrow = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
     )
@@ -162,6 +162,7 @@ def contamination(
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
     listed = F.coalesce("items", F.array().cast("array<string>"))
     return joined.select(
+        "row",
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),

@@ -9,9 +9,9 @@ no escape. The probabilities of a context therefore sum to 1, and so do those of
 context; the table has at most 257**2 + 257 contexts of 257 numbers (68 MB; a few MB on real text), which bounds the
 broadcast whatever the corpus.
 
-**Base score.** Tokens of the whole corpus are counted exactly. Each Arrow batch of documents turns into one row per
+**Base score.** Tokens of the whole corpus are counted exactly. Each slice of a batch of documents turns into one row per
 distinct token with the packed places of its documents; rows meet their count by a join on the token and go back to their
-batch, where the logarithms are added per document. A token has one row per batch, not one per occurrence, and adaptive
+batch, where the logarithms are added per document. A token has one row per slice, not one per occurrence, and adaptive
 execution splits the join of a frequent one.
 
 Null and empty texts consist of the end token (and end symbol) alone. Repeated rows are learned from and scored each; a
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ SYMBOLS = 257
 #: Stands for the end of a text among the tokens; a token has no blanks.
 END_TOKEN = b" "
 STEP = 1 << 22
+#: Bytes of text whose tokens are put together in one go.
+SLICE = 1 << 24
 
 
 def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -172,12 +175,16 @@ def token_rows(docs: DataFrame) -> DataFrame:
     null token, has the documents' row numbers instead. docs(row, text, training)."""
 
     def work(batch):
-        out = []
-        for first in range(0, batch.num_rows, 1 << 15):
-            out.append(_rows(batch.slice(first, 1 << 15), first))
+        out, first, size = [], 0, 0
+        lengths = pa.compute.binary_length(batch.column(1)).fill_null(0).to_pylist()
+        for i, length in enumerate(lengths):
+            size += length
+            if size >= SLICE or i + 1 - first == 1 << 15 or i + 1 == len(lengths):
+                out.append(_rows(batch.slice(first, i + 1 - first)))
+                first, size = i + 1, 0
         return pa.Table.from_batches(out)
 
-    def _rows(batch, first):
+    def _rows(batch):
         known: dict[bytes, int] = {}
         number = known.setdefault
         ids, sizes = [], np.empty(batch.num_rows, np.int64)
@@ -245,7 +252,7 @@ def base_sums(docs: DataFrame) -> tuple[DataFrame, int, int]:
             "logs": pa.array(sums[2]),
         })
 
-    # A group is one Arrow batch of documents, whose size Spark bounds.
+    # A group is one slice of documents, of bounded size.
     sums = kept.groupBy("batch").applyInArrow(add, "row bigint, n_tokens bigint, n_known bigint, logs double")
     return sums, totals.n, totals.v
 

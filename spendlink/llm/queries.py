@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlink.llm import bpe, chat, decontaminate, lm, secrets, sharding, toxicity
+import corpus_pipeline
+from spendlink.llm import bpe, chat, decontaminate, embeddings, jaccard, lm, secrets, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
     "op2_chat_formatting": chat.query,
     "op4_bpe": bpe.query,
+    "op5_jaccard_join": jaccard.query,
     "op6_feistel_sharding": sharding.query,
+    "op7_embedding_near_dups": embeddings.query,
     "op8_lm_scoring": lm.query,
     "op9_secret_scan": secrets.query,
     "op10_decontamination": decontaminate.query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op10_decontamination": decontaminate.SQL}
