@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from spendlink.llm import bpe, chat, decontaminate, embeddings, jaccard, lm, secrets, sharding, toxicity
+from spendlink.llm import bpe, chat, decontaminate, embeddings, jaccard, lm, secrets, sharding, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
     "op2_chat_formatting": chat.query,
+    "op3_suffix_dedup": suffixes.query,
     "op4_bpe": bpe.query,
     "op5_jaccard_join": jaccard.query,
     "op6_feistel_sharding": sharding.query,
