@@ -1,6 +1,7 @@
 """Near-duplicate vectors by a forest of random-projection trees with spill.
 
 1. Vectors become unit vectors in double precision. Equal unit vectors are one class with a count of its members.
+   Between tasks a vector travels as it came, in single precision where that loses nothing.
 2. Trees are fitted on a bounded sample: ``SAMPLE`` classes with the smallest hash. Each level of a tree projects on a
    random direction; each node splits at the median of its sample. A vector within ``SPILL`` of the split goes to both
    sides, so close vectors are rarely parted, and never in all trees at once in practice. Depth follows the number of
@@ -28,8 +29,8 @@ from spendlink.llm.common import map_arrow, table
 from spendlink.sources.shared import materialize
 
 LEAST = 0.95
-TREES = 10
-SPILL = 0.02
+TREES = 8
+SPILL = 0.015
 LEAF = 128
 MAX_DEPTH = 16
 SAMPLE = 8192
@@ -50,13 +51,20 @@ def unit(values) -> np.ndarray | None:
     return v / np.sqrt(v @ v)
 
 
+def packed(values) -> bytes:
+    exact = np.array(values, "<f8")
+    with np.errstate(over="ignore"):
+        single = exact.astype("<f4")
+    return (single if (single == exact).all() else exact).tobytes()
+
+
 def units(rows: DataFrame) -> DataFrame:
-    """(vec_id, node, dim, vector) for rows(vec_id, embedding): unit vectors as bytes, null where there is none."""
+    """(vec_id, node, dim, vector) for rows(vec_id, embedding): packed vectors, null where there is no unit vector."""
 
     def work(batch):
         vectors = [unit(x.as_py()) for x in batch.column(1)]
-        raw = [None if v is None else v.astype("<f8").tobytes() for v in vectors]
-        node = [None if r is None else hashlib.blake2b(r, digest_size=16).digest() for r in raw]
+        node = [None if v is None else hashlib.blake2b(v.tobytes(), digest_size=16).digest() for v in vectors]
+        raw = [None if v is None else packed(x.as_py()) for v, x in zip(vectors, batch.column(1), strict=True)]
         dim = [None if v is None else len(v) for v in vectors]
         return pa.record_batch(
             [batch.column(0), pa.array(node, pa.binary()), pa.array(dim, pa.int32()), pa.array(raw, pa.binary())],
@@ -97,7 +105,14 @@ class Tree:
 
 
 def matrix(column, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(-1, dim)
+    """Unit vectors, in double precision, of packed ones."""
+    raw = column.to_pylist()
+    if all(len(r) == 4 * dim for r in raw):
+        v = np.frombuffer(b"".join(raw), "<f4").reshape(-1, dim).astype(np.float64)
+    else:
+        v = np.array([np.frombuffer(r, "<f4" if len(r) == 4 * dim else "<f8") for r in raw], np.float64).reshape(-1, dim)
+    v /= np.abs(v).max(axis=1, keepdims=True, initial=0)
+    return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
 def forest(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE) -> dict[int, list[Tree]]:
@@ -112,7 +127,7 @@ def forest(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int
 
 
 def leaf_rows(classes: DataFrame, grown: dict[int, list[Tree]]) -> DataFrame:
-    """(leaf, node, dim, vector): every class in every leaf it falls into."""
+    """(leaf, node): every class in every leaf it falls into."""
     shared = classes.sparkSession.sparkContext.broadcast(grown)
 
     def work(batch):
@@ -124,11 +139,10 @@ def leaf_rows(classes: DataFrame, grown: dict[int, list[Tree]]) -> DataFrame:
             for k, tree in enumerate(shared.value[int(dim)]):
                 row, node = tree.leaves(vectors)
                 leaf = (int(dim) << 32) + (k << 24) + node
-                at = pa.array(row)
-                out.append(pa.record_batch([pa.array(leaf), *(part.column(c).take(at) for c in range(3))], ["leaf", "node", "dim", "vector"]))
+                out.append(pa.record_batch([pa.array(leaf), part.column(0).take(pa.array(row))], ["leaf", "node"]))
         return pa.Table.from_batches(out)
 
-    return map_arrow(classes.select("node", "dim", "vector"), work, "leaf bigint, node binary, dim int, vector binary")
+    return map_arrow(classes.select("node", "dim", "vector"), work, "leaf bigint, node binary")
 
 
 def _crossing(t: pa.Table) -> np.ndarray | None:
@@ -175,7 +189,9 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     )
     classes = materialize(classes.select("node", "n", "first.none", F.col("first.vec_id").alias("least"), "dim", "vector"), "classes")
     placed = materialize(leaf_rows(classes, forest(classes, **fitted)), "leaves")
-    groups = components(close_edges(meetings(placed, "leaf", "node", TILE)), "groups").withColumnRenamed("root", "group")
+    vectors = classes.select("node", "dim", "vector")
+    # Places first, vectors last: a vector is shuffled once for each meeting, not for the grouping before it.
+    groups = components(close_edges(meetings(placed, "leaf", "node", TILE).join(vectors, "node")), "groups").withColumnRenamed("root", "group")
     members = groups.join(classes, "node")
     links = link_counts(meetings(members, "group", "node", TILE)).groupBy("node").agg(F.sum("links").alias("links"))
     best = members.groupBy("group").agg(F.min(F.struct("none", "least")).alias("best"))
