@@ -39,16 +39,21 @@ def attach_class_code(items: DataFrame, predictions: DataFrame, how: str = "inne
     return items.join(first, "pim", how)
 
 
+def one_answer(responses: DataFrame, key: str) -> DataFrame:
+    """One answer per key, the smallest text, so that a repeated answer does not multiply items."""
+    return responses.groupBy(key).agg(F.min("response").alias("response"))
+
+
 def attach_concept_code(items: DataFrame, responses: DataFrame) -> DataFrame:
     """Concept code by drug name from a table of JSON answers; an untagged item with a code becomes a drug."""
-    codes = responses.select("drug_name", first_code(F.col("response")).alias("concept_code"))
+    codes = one_answer(responses, "drug_name").select("drug_name", first_code(F.col("response")).alias("concept_code"))
     coded = left_attach(items, codes, ["drug_name"]).withColumn("concept_code", F.coalesce("concept_code", F.lit("")))
     return coded.withColumn("tag", promote_if(F.col("tag"), F.col("concept_code") != ""))
 
 
 def attach_concept_info(items: DataFrame, responses: DataFrame) -> DataFrame:
     """Brand names, ingredients and species tags by concept code from a table of XML answers."""
-    info = responses.filter("concept_code <> ''").select("concept_code", concept_info(F.col("response")).alias("info"))
+    info = one_answer(responses.filter("concept_code <> ''"), "concept_code").select("concept_code", concept_info(F.col("response")).alias("info"))
     none = "cast(array() AS array<string>)"
     return (
         left_attach(items, info, ["concept_code"])

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendlink.operators.priority import match_priority
 from spendlink.plans.enrich import enrich
@@ -75,14 +77,41 @@ def match_prices(job: Job, items: DataFrame, priority: DataFrame, table) -> Data
     return match_new_spend(flagged, table("price_info_new"), job.settings)
 
 
+class AnswerMissing(Exception):
+    """The request is written; the run can go on once the classifier's answer is there."""
+
+
+class AnswerStale(Exception):
+    """The answer belongs to another request."""
+
+
+def verified_answer(spark: SparkSession, request: DataFrame, path: str, request_path: str) -> DataFrame:
+    """Predictions whose part numbers, hashes of the item keys, agree with the request. Ids alone prove nothing: they are
+    places in key order and shift with every new item."""
+    try:
+        answer = readers.read_predictions(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise AnswerMissing(f"request written to {request_path}, no answer at {path}") from error
+    asked = request.select(F.col("PIM_KEY").alias("asked_id"), F.col("PART_NUMBER").alias("asked_number"))
+    given = answer.select("pim_key", "part_number")
+    differs = F.col("asked_number").isNull() | ~F.col("part_number").eqNullSafe(F.col("asked_number"))
+    stale = given.join(asked, F.col("pim_key").eqNullSafe(F.col("asked_id")), "left").filter(differs)
+    if stale.limit(1).count():
+        raise AnswerStale(f"{path} does not answer {request_path}")
+    return answer
+
+
 def enriched_items(spark: SparkSession, job: Job, inputs: Tables, checkpoint: str) -> DataFrame:
     if job.process == "PARTIAL":
         return readers.read_checkpoint(spark, checkpoint)
 
     def classify(request: DataFrame) -> DataFrame:
-        # The classifier is an external program. Ids follow key order, so the request may be written in an earlier run.
-        request.write.mode("overwrite").option("header", True).csv(inputs.path("classifier_request"))
-        return readers.read_predictions(spark, inputs.path("predictions.csv"))
+        # The classifier is an external program: one run writes the request, a later one finds the answer.
+        path = f"{checkpoint.rpartition('/')[0]}/classifier_request"
+        sinks.write_classifier_request(request, path)
+        return verified_answer(spark, request, inputs.path("predictions.csv"), path)
 
     items = enrich(
         readers.read_items(spark, inputs.path("items")),

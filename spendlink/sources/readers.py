@@ -56,7 +56,12 @@ def alias_pairs(sheet: DataFrame) -> DataFrame:
 
 
 def read_alias_map(spark: SparkSession, path) -> DataFrame:
-    return alias_pairs(spark.read.options(header=True, multiLine=True, escape='"').csv(path))
+    """The sheet is ragged: the largest alias count, not the header, says how many columns are read."""
+    options = {"header": True, "multiLine": True, "escape": '"'}
+    counts = _positional_csv(spark, path, ["canonical", "n"], **options)
+    widest = counts.agg(F.max(F.expr("try_cast(n AS INT)"))).first()[0] or 0
+    names = ["canonical", "n", *(f"alias_{i}" for i in range(max(1, widest)))]
+    return alias_pairs(_positional_csv(spark, path, names, **options))
 
 
 def keyword_pairs(sheet: DataFrame) -> DataFrame:
@@ -71,7 +76,7 @@ def keyword_pairs(sheet: DataFrame) -> DataFrame:
 
 
 def read_keyword_map(spark: SparkSession, path) -> DataFrame:
-    return keyword_pairs(_positional_csv(spark, path, ["keyword", "full_name"], header=False))
+    return keyword_pairs(_positional_csv(spark, path, ["keyword", "full_name"], header=False, multiLine=True, escape='"'))
 
 
 # Headers of the priority sheet that are used.
@@ -95,7 +100,9 @@ def read_priority_list(spark: SparkSession, path) -> DataFrame:
 
 
 def read_predictions(spark: SparkSession, path, header: bool = True) -> DataFrame:
-    return spark.read.schema(PREDICTIONS).options(header=header, enforceSchema=True).csv(path)
+    """Quotes are doubled inside quoted fields and line breaks are kept; a row of another width fails the read."""
+    options = {"header": header, "enforceSchema": True, "multiLine": True, "escape": '"', "mode": "FAILFAST"}
+    return spark.read.schema(PREDICTIONS).options(**options).csv(path)
 
 
 def read_checkpoint(spark: SparkSession, path, fmt: str = "parquet") -> DataFrame:

@@ -68,5 +68,5 @@ def classifier_request(items: DataFrame, random_part_number: bool = False) -> Da
     )
 
 
-def write_classifier_request(items: DataFrame, path: str) -> None:
-    write(classifier_request(items), path, "csv")
+def write_classifier_request(request: DataFrame, path: str) -> None:
+    write(request, path, "csv")

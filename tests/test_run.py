@@ -4,7 +4,7 @@ import pytest
 
 from catalog.fixtures import Inputs
 from spendlink import Job, Tables, run
-from spendlink.plans.run import enriched_items
+from spendlink.plans.run import AnswerMissing, AnswerStale, enriched_items
 from spendlink.sources import readers, sinks
 
 SMALL = "/root/testdata/sf0.001"
@@ -76,15 +76,46 @@ def data(spark, tmp_path_factory):
         "unique_products": t.maker_products, "price_info": t.prices, "price_info_new": t.new_spend,
     }.items():
         df.write.parquet(str(root / f"{name}.parquet"))
-    # Predictions of an earlier classifier run: ids follow key order, so any superset of ids fits.
-    predictions = spark.range(2000).selectExpr(
-        "id AS pim_key", "'' AS company_name", "'' AS part_number", "'' AS description", "'' AS data_set",
-        "CAST(1 + id % 50 AS STRING) AS first", "'' AS secondCategory", "'' AS thirdCategory",
-        "0.5 AS `1stProb`", "0.2 AS `2ndProb`", "0.1 AS `3rdProb`")
-    sinks.write(predictions, str(root / "predictions.csv"), "csv")
     return str(root)
 
 
+PREDICTED = (
+    "PIM_KEY AS pim_key", "COMPANY_NAME AS company_name", "PART_NUMBER AS part_number", "PRODUCT_DESCRIPTION AS description",
+    """'a, "b" c' AS data_set""", "CAST(1 + PIM_KEY % 50 AS STRING) AS first", "'' AS secondCategory", "'' AS thirdCategory",
+    "0.5 AS `1stProb`", "0.2 AS `2ndProb`", "0.1 AS `3rdProb`",
+)
+
+
+def answer(spark, request, data, columns=PREDICTED):
+    """The external classifier: reads the request, writes its answer beside the inputs."""
+    asked = spark.read.options(header=True, multiLine=True, escape='"').csv(request)
+    sinks.write(asked.selectExpr(*columns), f"{data}/predictions.csv", "csv")
+
+
+def test_request_then_answer(spark, data, tmp_path):
+    job, tables, output = Job(70, "UNSPSC_CODE", "P", "FULL", "FUZZY"), Tables(spark, data), str(tmp_path / "out")
+    request = f"{output}/P/classifier_request"
+    with pytest.raises(AnswerMissing):
+        run(spark, job, tables, output)
+    answer(spark, request, data, [c.replace("PART_NUMBER", "concat(PART_NUMBER, 'x')") for c in PREDICTED])
+    with pytest.raises(AnswerStale):
+        run(spark, job, tables, output)
+    answer(spark, request, data)
+    assert spark.read.parquet(run(spark, job, tables, output)).count() == Inputs(spark, SMALL).items.count()
+
+
+def test_hostile_sheets(spark, tmp_path):
+    write_csv(tmp_path / "alias.csv", [["canonical", "n", "alias"], ["A", "3", "a", "a \"q\", b", "line\nbreak"], ["B", "1", "b", "no"]])
+    got = sorted(map(tuple, readers.read_alias_map(spark, str(tmp_path / "alias.csv")).collect()))
+    assert got == [("a", "A"), ('a "q", b', "A"), ("b", "B"), ("line\nbreak", "A")]
+    write_csv(tmp_path / "kw.csv", [["tab", 'say "x", y\nz']])
+    assert readers.read_keyword_map(spark, str(tmp_path / "kw.csv")).first().full_name == 'say "x", y\nz'
+    row = ["7", "co", "p", 'tube 5", large\nsize', "d", "42142500", "", "", "0.9", "0.1", "0"]
+    write_csv(tmp_path / "p.csv", [["h"] * 11, row])
+    read = readers.read_predictions(spark, str(tmp_path / "p.csv")).first()
+    assert (read.pim_key, read.description, read.first) == (7, 'tube 5", large\nsize', "42142500")
+
+
 def test_full_then_partial(spark, data, tmp_path):
     tables, output = Tables(spark, data), str(tmp_path / "out")
     full = run(spark, Job(70, "UNSPSC_CODE", "P", "FULL", "FUZZY"), tables, output)
