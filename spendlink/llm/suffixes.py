@@ -6,10 +6,12 @@ start) is removed; strings are judged on the input.
 1. **Anchors.** Each string (window) of 100 bytes has one anchor: its 32-byte gram of the smallest hash, the leftmost of
    equal ones. The choice depends on the window's bytes alone, so equal windows have equal anchors at equal places.
    Consecutive windows share an anchor; about one position in 35 is one.
-2. Anchors that occur once cannot repeat. Their hashes are counted, and a blocked Bloom filter of those that repeat
-   (8 MB at any size) thins out the next pass; a full filter costs time, not results.
-3. Occurrences with the same bytes over all windows of their anchor are one class. All of a class but its first are
-   removed as they are, however many there are.
+2. Occurrences with the same bytes over all windows of their anchor are one class. All of a class but its first are
+   removed as they are. Inside a batch this is settled before anything is shuffled, so however often a passage occurs, an
+   anchor has one row per batch and class.
+3. Classes are sorted by anchor and walked through; only the current anchor's class firsts are held. What an anchor with
+   one class holds is unique and done with. A blocked Bloom filter (8 MB at any size) of the others' places picks their
+   bytes in a second pass over the texts; a full filter costs time, not results.
 4. Firsts of classes that share an anchor but differ elsewhere are compared: their suffixes from the anchor on, and
    the reversed prefixes before it, are sorted deep-shallow. Multikey quicksort goes by words of 8 bytes to a depth of
    ``SHALLOW``; what is tied there goes into a blind trie, which branches on bytes without reading those between, and
@@ -27,6 +29,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +43,7 @@ SPAN = LENGTH - GRAM + 1
 CHUNK = 1 << 22
 SHALLOW = 48
 HOT = 4096
-BLOCKS_BITS, BIT = 7, 19
+BLOCK_BITS, BIT = 7, 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, 256, np.uint64)
 
@@ -107,27 +110,20 @@ def chunks(texts):
         yield first, held
 
 
-def repeated_grams(docs: DataFrame) -> DataFrame:
-    def work(batch):
-        parts = []
-        for _, texts in chunks(as_bytes(batch.column(0))):
-            parts.append(anchors(texts)[1])
-        return pa.record_batch([pa.array(np.concatenate(parts).astype(np.int64))], ["gram"])
-
-    found = map_arrow(docs.select("text"), work, "gram bigint")
-    return found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+def place_hash(row: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return mixed(mixed(row.astype(np.uint64)) + place.astype(np.uint64))
 
 
 def _bits(gram: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     g = gram.astype(np.uint64)
     mask = np.uint64((1 << BIT) - 1)
-    return (g >> np.uint64(64 - BLOCKS_BITS)).astype(np.int64), [
+    return (g >> np.uint64(64 - BLOCK_BITS)).astype(np.int64), [
         ((g >> np.uint64(k * BIT)) & mask).astype(np.int64) for k in range(3)
     ]
 
 
-def bloom(grams: DataFrame) -> np.ndarray:
-    """One row of bits per block; every block is filled by one task."""
+def bloom(places: DataFrame) -> np.ndarray:
+    """One row of bits per block, of places(hash); every block is filled by one task."""
 
     def run(batches):
         held, bits = None, None
@@ -146,41 +142,122 @@ def bloom(grams: DataFrame) -> np.ndarray:
     def piece(block, bits):
         return pa.record_batch([pa.array([block], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["block", "bits"])
 
-    block = F.shiftrightunsigned("gram", 64 - BLOCKS_BITS).cast("int").alias("block")
-    placed = grams.select(block, "gram").repartition("block").sortWithinPartitions("block")
-    out = np.zeros((1 << BLOCKS_BITS, 1 << (BIT - 3)), np.uint8)
+    block = F.shiftrightunsigned("hash", 64 - BLOCK_BITS).cast("int").alias("block")
+    placed = places.select(block, "hash").repartition("block").sortWithinPartitions("block")
+    out = np.zeros((1 << BLOCK_BITS, 1 << (BIT - 3)), np.uint8)
     for row in placed.mapInArrow(run, "block int, bits binary").toLocalIterator():
         out[row.block] |= np.frombuffer(row.bits, np.uint8)
     return out
 
 
-def occurrences(docs: DataFrame, filled: np.ndarray) -> DataFrame:
-    """(doc_id, row, gram, same, place, before, more) of anchors that pass the filter."""
-    shared = docs.sparkSession.sparkContext.broadcast(filled)
+def has(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    block, places = _bits(hashes)
+    keep = np.ones(len(hashes), bool)
+    for p in places:
+        keep &= (filled[block, p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 > 0
+    return keep
+
+
+def packed_window(place, before, more):
+    """Place, windows before and windows after the first in one number; both counts are below 128."""
+    return place << 14 | before << 7 | more
+
+
+def occurrences(docs: DataFrame) -> DataFrame:
+    """(gram, same, doc_id, row, window): the first occurrence of each class in a batch, and, with a null ``same`` and a
+    key of their own, the others."""
 
     def work(batch):
-        out = []
+        parts = []
         for first, texts in chunks(as_bytes(batch.column(2))):
             t, gram, same, place, before, more = anchors(texts)
-            block, places = _bits(gram)
-            keep = np.ones(len(gram), bool)
-            for p in places:
-                keep &= (shared.value[block, p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 > 0
-            at = pa.array(t[keep] + first)
-            out.append(pa.record_batch(
-                [
-                    batch.column(0).take(at), batch.column(1).take(at), pa.array(gram[keep].astype(np.int64)), pa.array(same[keep].astype(np.int64)),
-                    *(pa.array(x[keep].astype(np.int32)) for x in (place, before, more)),
-                ],
-                ["doc_id", "row", "gram", "same", "place", "before", "more"],
-            ))
-        return pa.Table.from_batches(out)
+            parts.append((t + first, gram, same, packed_window(place, before, more)))
+        t, gram, same, window = (np.concatenate(x) for x in zip(*parts, strict=True))
+        ids = batch.column(0)
+        rank = pa.compute.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="first").to_numpy()[t]
+        order = np.lexsort((window, rank, same, gram))
+        t, gram, same, window = t[order], gram[order], same[order], window[order]
+        again = np.zeros(len(t), bool)
+        again[1:] = (gram[1:] == gram[:-1]) & (same[1:] == same[:-1])
+        row = batch.column(1).to_numpy()[t]
+        key = np.where(again, mixed(row.astype(np.uint64)), gram).astype(np.int64)
+        return pa.record_batch(
+            [pa.array(key), pa.array(same.astype(np.int64), mask=again), ids.take(pa.array(t)), pa.array(row), pa.array(window)],
+            ["gram", "same", "doc_id", "row", "window"],
+        )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, row bigint, gram bigint, same bigint, place int, before int, more int"
+    schema = f"gram bigint, same bigint, doc_id {kind}, row bigint, window bigint"
     return map_arrow(docs.select("doc_id", "row", "text"), work, schema)
 
 
+def settled(found: DataFrame) -> DataFrame:
+    """(row, window, gram, classes): occurrences to be removed as they are (gram is null), and the first occurrence of
+    every class of an anchor that has several."""
+
+    def run(batches):
+        out = [[], [], [], []]
+        gram, same, firsts, hot = None, None, [], False
+
+        def add(row, window, of, classes):
+            for column, value in zip(out, (row, window, of, classes), strict=True):
+                column.append(value)
+
+        def close():
+            nonlocal firsts, hot
+            if len(firsts) > 1 or hot:
+                for row, window in firsts:
+                    add(row, window, gram, HOT + 1 if hot else len(firsts))
+            firsts, hot = [], False
+
+        def flush():
+            nonlocal out
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            made = pa.record_batch([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["row", "window", "gram", "classes"])
+            out = [[], [], [], []]
+            return made
+
+        for batch in batches:
+            g, s = batch.column(0).to_numpy(), batch.column(1)
+            removed = s.is_null().to_numpy(zero_copy_only=False)
+            s = s.fill_null(0).to_numpy()
+            row, window = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            at = np.flatnonzero(removed)
+            if len(at):
+                yield pa.record_batch(
+                    [pa.array(row[at]), pa.array(window[at]), *(pa.nulls(len(at), pa.int64()),) * 2], ["row", "window", "gram", "classes"]
+                )
+            # Anchors with one row inside this batch are done with, but for the ends of the batch.
+            use = np.flatnonzero(~removed)
+            gu = g[use]
+            alone = np.zeros(len(use), bool)
+            if len(use) > 2:
+                alone[1:-1] = (gu[1:-1] != gu[:-2]) & (gu[1:-1] != gu[2:])
+            for i in use[~alone].tolist():
+                if g[i] != gram:
+                    close()
+                    gram, same = g[i].item(), None
+                if same is not None and s[i] == same:
+                    add(row[i].item(), window[i].item(), None, None)
+                    continue
+                same = s[i].item()
+                firsts.append((row[i].item(), window[i].item()))
+                if len(firsts) > HOT:  # held no longer: this anchor's classes go another way
+                    hot = True
+                    for r, w in firsts:
+                        add(r, w, gram, HOT + 1)
+                    firsts = []
+            if len(out[0]) > 50_000:
+                yield flush()
+        close()
+        if out[0]:
+            yield flush()
+
+    order = ["gram", "same", "doc_id", "row", "window"]
+    placed = found.repartition("gram").sortWithinPartitions(*order)
+    return placed.select("gram", "same", "row", "window").mapInArrow(run, "row bigint, window bigint, gram bigint, classes bigint")
+
+
 # --- Sorting ---------------------------------------------------------------------------------------------------
 
 
@@ -329,30 +406,40 @@ def repeated_windows(strings: list[bytes], before: np.ndarray, more: np.ndarray)
 
 # --- The operator ----------------------------------------------------------------------------------------------
 
-_STRING = "gram bigint, hot boolean, doc_id {kind}, row bigint, place int, before int, more int, string binary"
-
 
 def _strings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of all windows of each wanted anchor."""
-    per_row = wanted.groupBy("row").agg(F.collect_list(F.struct("gram", "hot", "place", "before", "more")).alias("wanted"))
-    met = docs.select("row", "doc_id", "text").join(per_row, "row").select("doc_id", "row", "text", "wanted")
-    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def hashed(batch):
+        row, window = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        return pa.record_batch([pa.array(place_hash(row, window).astype(np.int64))], ["hash"])
+
+    filled = bloom(map_arrow(wanted.select("row", "window"), hashed, "hash bigint"))
+    shared = docs.sparkSession.sparkContext.broadcast(filled)
 
     def work(batch):
-        out = [[] for _ in range(8)]
-        rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_bytes(batch.column(2)), batch.column(3), strict=True)
-        for doc_id, row, text, anchors_of in rows:
-            text = text.as_py()
-            for a in anchors_of.as_py():
-                start = a["place"] - a["before"]
-                string = text[start : start + a["more"] + LENGTH]
-                for column, value in zip(out, (a["gram"], a["hot"], doc_id, row, a["place"], a["before"], a["more"], string), strict=True):
-                    column.append(value)
-        types = [pa.int64(), pa.bool_(), batch.schema.field(0).type, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-        names = ["gram", "hot", "doc_id", "row", "place", "before", "more", "string"]
-        return pa.record_batch([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
-
-    return map_arrow(met, work, _STRING.format(kind=kind))
+        out = []
+        for first, texts in chunks(as_bytes(batch.column(2))):
+            t, _, _, place, before, more = anchors(texts)
+            window = packed_window(place, before, more)
+            rows = batch.column(1).to_numpy()[t + first]
+            keep = np.flatnonzero(has(shared.value, place_hash(rows, window)))
+            start = (place - before)[keep].tolist()
+            stop = (place - before + more + LENGTH)[keep].tolist()
+            strings = [texts[k][a:b] for k, a, b in zip(t[keep].tolist(), start, stop, strict=True)]
+            out.append(pa.record_batch(
+                [batch.column(0).take(pa.array(t[keep] + first)), pa.array(rows[keep]), pa.array(window[keep]), pa.array(strings, pa.binary())],
+                ["doc_id", "row", "window", "string"],
+            ))
+        return pa.Table.from_batches(out)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    cut = map_arrow(docs.select("doc_id", "row", "text"), work, f"doc_id {kind}, row bigint, window bigint, string binary")
+    met = cut.join(wanted.select("row", "window", "gram", (F.col("classes") > HOT).alias("hot")), ["row", "window"])
+    return met.select(
+        "gram", "hot", "doc_id", "row", F.shiftright("window", 14).cast("int").alias("place"),
+        F.shiftright("window", 7).bitwiseAND(127).cast("int").alias("before"), F.col("window").bitwiseAND(127).cast("int").alias("more"), "string",
+    )
 
 
 def _compared(strings: DataFrame) -> DataFrame:
@@ -393,20 +480,11 @@ def _by_window(strings: DataFrame) -> DataFrame:
 
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(row, start, stop): byte ranges to be removed, for docs(doc_id, row, text); they may overlap."""
-    filled = bloom(repeated_grams(docs))
-    found = materialize(occurrences(docs, filled), "anchors")
-    here = F.struct("doc_id", "row", "place")
-    classes = found.groupBy("gram", "same", "before", "more").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n"))
-    classes = materialize(classes, "classes")
-    several = classes.filter("n > 1").select("gram", "same", "before", "more", "first")
-    copies = found.join(several, ["gram", "same", "before", "more"]).filter(
-        (F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place"))
-    )
-    start = F.col("place") - F.col("before")
-    removed = copies.select("row", start.alias("start"), (start + F.col("more") + LENGTH).alias("stop"))
-    shared = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    wanted = classes.join(shared, "gram").select("gram", (F.col("k") > HOT).alias("hot"), "first.row", "first.place", "before", "more")
-    strings = materialize(_strings(docs, wanted), "strings")
+    found = materialize(settled(occurrences(docs)), "settled")
+    start = F.shiftright("window", 14) - F.shiftright("window", 7).bitwiseAND(127)
+    stop = start + F.col("window").bitwiseAND(127) + LENGTH
+    removed = found.filter(F.col("gram").isNull()).select("row", start.cast("int").alias("start"), stop.cast("int").alias("stop"))
+    strings = materialize(_strings(docs, found.filter(F.col("gram").isNotNull())), "strings")
     compared = _compared(strings.filter(~F.col("hot")))
     return removed.unionByName(compared).unionByName(_by_window(strings.filter("hot")))
 
@@ -415,13 +493,23 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, stop) for every row."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     ranges = repeated_ranges(rows)
-    per_row = ranges.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("ranges"))
-    met = rows.join(per_row, "row", "left").select("doc_id", "text", "ranges")
+    per_row = ranges.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("ranges"))
+
+    def squeeze(batch):  # the texts cross the network once, well packed
+        texts = [t.as_py() or b"" for t in as_bytes(batch.column(2))]
+        squeezed = [pa.compress(t, codec="zstd", asbytes=True) for t in texts]
+        return pa.record_batch(
+            [*batch.columns[:2], pa.array(map(len, texts), pa.int64()), pa.array(squeezed, pa.binary())], ["row", "doc_id", "size", "text"]
+        )
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    texts = map_arrow(rows.select("row", "doc_id", "text"), squeeze, f"row bigint, doc_id {kind}, size bigint, text binary")
+    met = texts.join(per_row, "row", "left").select("doc_id", "size", "text", "ranges")
 
     def work(batch):
         sizes, removed, counts, shas, spans = [], [], [], [], []
-        for text, found in zip(as_bytes(batch.column(1)), batch.column(2), strict=True):
-            text, merged = text.as_py() or b"", []
+        for size, text, found in zip(*batch.columns[1:], strict=True):
+            text, merged = pa.decompress(text.as_py(), size.as_py(), codec="zstd", asbytes=True), []
             for r in found.as_py() or ():
                 if merged and r["start"] <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], r["stop"])
@@ -441,7 +529,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (sizes, removed, counts)), pa.array(shas, pa.string()), pa.array(spans, span)]
         return pa.record_batch(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:int,stop:int>>"
     return map_arrow(met, work, schema)
 
