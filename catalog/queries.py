@@ -459,7 +459,8 @@ def _(t):
     named = t.documents.selectExpr("doc_id", "lower(text) AS name")
     return (
         products.contains_join(words, named)
-        .join(named, "name")
+        .select("needle", "digest")
+        .join(named.selectExpr("doc_id", f"{products.digest('name')} AS digest"), "digest")
         .groupBy("doc_id")
         .agg(
             F.count(F.lit(1)).alias("words"), F.min("needle").alias("first_word"), F.max("needle").alias("last_word")

@@ -21,6 +21,11 @@ MAX_WORDS = 16
 SIGNATURE_WORDS = 2
 SLICE_PAIRS = 1 << 16
 MASK_CELLS = 1 << 22
+# Characters prepared at once. A batch with more is worked off in parts, so memory does not follow the batch size.
+PART_CHARACTERS = 1 << 20
+# Texts up to 2 ** NARROW characters share a code table; longer ones only with texts of their own doubling of length.
+NARROW = 8
+POINT_BITS = 21
 ALL_ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -30,13 +35,30 @@ def percent(lcs, total, digits: int):
     return np.round(100.0 * ratio, digits)
 
 
+def parts(load, budget: int = PART_CHARACTERS):
+    """Consecutive slices whose loads sum to at most ``budget``; a row beyond it goes alone."""
+    start = total = 0
+    for row, n in enumerate(load):
+        if row > start and total + n > budget:
+            yield start, row
+            start, total = row, 0
+        total += n
+    if start < len(load):
+        yield start, len(load)
+
+
+def characters(strings: pa.Array):
+    """Length of each string, null as 0."""
+    return pc.fill_null(pc.utf8_length(strings), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 class Texts:
     """Code points of a batch of strings, plus a character-occurrence signature per string."""
 
     def __init__(self, strings: pa.Array):
         strings = pc.fill_null(strings, "")
         self.strings = strings
-        self.length = pc.utf8_length(strings).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.length = characters(strings)
         self.start = np.cumsum(self.length) - self.length
         self.points = np.frombuffer("".join(strings.to_pylist()).encode("utf-32-le"), dtype=np.uint32)
         self.signature = self._signatures()
@@ -46,14 +68,14 @@ class Texts:
         out = np.zeros((SIGNATURE_WORDS, len(self.length)), dtype=np.uint64)
         if not len(self.points):
             return out
-        owner = np.repeat(np.arange(len(self.length)), self.length)
-        order = np.lexsort((self.points, owner))
-        chars, owner = self.points[order].astype(np.int64), owner[order]
-        new_run = np.ones(len(chars), dtype=bool)
-        new_run[1:] = (chars[1:] != chars[:-1]) | (owner[1:] != owner[:-1])
-        run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(chars)), 0))
-        nth = np.arange(len(chars)) - run_start
-        slot = (chars * 7 + nth * 37) % (WORD * SIGNATURE_WORDS)
+        # Text number and character in one number: sorted, equal characters of a text stand side by side.
+        key = (np.repeat(np.arange(len(self.length)), self.length) << POINT_BITS) | self.points
+        key.sort()
+        new_run = np.concatenate(([True], key[1:] != key[:-1]))
+        nth = np.arange(len(key))
+        nth -= np.maximum.accumulate(np.where(new_run, nth, 0))
+        key &= (1 << POINT_BITS) - 1
+        slot = ((key * 7 + nth * 37) % (WORD * SIGNATURE_WORDS)).astype(np.uint8)
         filled = np.flatnonzero(self.length)
         for w in range(SIGNATURE_WORDS):
             bits = np.where(slot // WORD == w, np.uint64(1) << (slot % WORD).astype(np.uint64), np.uint64(0))
@@ -164,9 +186,13 @@ def lcs_lengths(a: Texts, b: Texts, i, j):
     swap = lb < la
     needed = np.maximum(-(-np.minimum(la, lb) // WORD), 1)
     words = 1 << np.ceil(np.log2(needed)).astype(int)
+    # The code table of a group is as wide as its longest text, so lengths in it stay within one doubling.
+    width = np.maximum(np.ceil(np.log2(np.maximum(np.maximum(la, lb), 1))).astype(int), NARROW)
+    kind = words * WORD + width
     for side, (pattern, text, pi, ti) in ((False, (a, b, i, j)), (True, (b, a, j, i))):
-        for size in np.unique(words[swap == side]):
-            group = np.flatnonzero((swap == side) & (words == size))
+        for which in np.unique(kind[swap == side]):
+            size = which // WORD
+            group = np.flatnonzero((swap == side) & (kind == which))
             step = max(256, len(i) // int(size))
             for at in range(0, len(group), step):
                 part = group[at : at + step]
@@ -186,12 +212,13 @@ def slice_pairs(a: Texts, b: Texts) -> int:
 def _pair_score(digits: int):
     @arrow_udf("double")
     def score(left: pa.Array, right: pa.Array) -> pa.Array:
-        a, b = Texts(left), Texts(right)
         out = np.empty(len(left))
-        step = slice_pairs(a, b)
-        for at in range(0, len(left), step):
-            i = np.arange(at, min(at + step, len(left)))
-            out[i] = percent(lcs_lengths(a, b, i, i), a.length[i] + b.length[i], digits)
+        for start, end in parts(characters(left) + characters(right)):
+            a, b = Texts(left.slice(start, end - start)), Texts(right.slice(start, end - start))
+            step = slice_pairs(a, b)
+            for at in range(0, end - start, step):
+                i = np.arange(at, min(at + step, end - start))
+                out[start + i] = percent(lcs_lengths(a, b, i, i), a.length[i] + b.length[i], digits)
         missing = pc.or_(pc.is_null(left), pc.is_null(right)).to_numpy(zero_copy_only=False)
         return pa.array(out, mask=missing)
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql.functions import arrow_udf
 
-from spendlink.functions.similarity import Texts, lcs_bound, lcs_lengths, percent, slice_pairs
+from spendlink.functions.similarity import Texts, characters, lcs_bound, lcs_lengths, parts, percent, slice_pairs
 
 HITS = "array<struct<i: int, j: int, score: double>>"
 
@@ -22,6 +22,13 @@ def _lists(column: pa.ListArray):
     return column.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets[:-1] - offsets[0], np.diff(offsets)
 
 
+def _load(column: pa.ListArray):
+    """Characters of each list."""
+    texts, at, n = _lists(column)
+    total = np.concatenate(([0], np.cumsum(characters(texts))))
+    return total[at + n] - total[at]
+
+
 def _top_k(group, score, k: int):
     """Positions of the k best of each group, earlier positions first among equals. Groups come in ascending order."""
     if not len(group):
@@ -59,30 +66,44 @@ def _rank_slice(a: Texts, b: Texts, i, j, digits: int, cutoff: float, k: int):
     return alive[good], score[good]
 
 
+def _rank_rows(left: pa.ListArray, right: pa.ListArray, digits: int, cutoff: float, k: int) -> pa.ListArray:
+    """Hits of each row; all texts of the rows are prepared at once."""
+    left_texts, left_at, left_n = _lists(left)
+    right_texts, right_at, right_n = _lists(right)
+    a, b = Texts(left_texts), Texts(right_texts)
+    ends = np.cumsum(left_n.astype(np.int64) * right_n)
+    total, step = int(ends[-1]) if len(ends) else 0, slice_pairs(a, b)
+    parts = [(np.empty(0, np.int64),) * 3 + (np.empty(0),)]
+    for at in range(0, total, step):
+        pair = np.arange(at, min(at + step, total))
+        row = np.searchsorted(ends, pair, side="right")
+        inner = pair - (ends - left_n.astype(np.int64) * right_n)[row]
+        i = left_at[row] + inner // right_n[row]
+        j = right_at[row] + inner % right_n[row]
+        hit, score = _rank_slice(a, b, i, j, digits, cutoff, k)
+        parts.append((row[hit], i[hit] - left_at[row[hit]], j[hit] - right_at[row[hit]], score))
+    row, i, j, score = (np.concatenate(p) for p in zip(*parts))
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(left)))))
+    hits = pa.StructArray.from_arrays(
+        [pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(score, pa.float64())], names=["i", "j", "score"]
+    )
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), hits)
+
+
+def rank_batch(left: pa.ListArray, right: pa.ListArray, digits: int, cutoff: float, k: int) -> pa.ListArray:
+    """Hits of each row of a batch of any size, worked off in parts of bounded size; a part has one row at least."""
+    ranked = [
+        _rank_rows(left.slice(at, end - at), right.slice(at, end - at), digits, cutoff, k)
+        for at, end in parts(_load(left) + _load(right))
+    ]
+    return pa.concat_arrays(ranked or [_rank_rows(left, right, digits, cutoff, k)])
+
+
 def best_in_tile(items: Column, candidates: Column, digits: int, cutoff: float, k: int) -> Column:
     """Hits ``(i, j, score)`` per row; candidates must come ordered by their tie-break id."""
 
     @arrow_udf(HITS)
     def rank(left: pa.Array, right: pa.Array) -> pa.Array:
-        left_texts, left_at, left_n = _lists(left)
-        right_texts, right_at, right_n = _lists(right)
-        a, b = Texts(left_texts), Texts(right_texts)
-        ends = np.cumsum(left_n.astype(np.int64) * right_n)
-        total, step = int(ends[-1]) if len(ends) else 0, slice_pairs(a, b)
-        parts = [(np.empty(0, np.int64),) * 3 + (np.empty(0),)]
-        for at in range(0, total, step):
-            pair = np.arange(at, min(at + step, total))
-            row = np.searchsorted(ends, pair, side="right")
-            inner = pair - (ends - left_n.astype(np.int64) * right_n)[row]
-            i = left_at[row] + inner // right_n[row]
-            j = right_at[row] + inner % right_n[row]
-            hit, score = _rank_slice(a, b, i, j, digits, cutoff, k)
-            parts.append((row[hit], i[hit] - left_at[row[hit]], j[hit] - right_at[row[hit]], score))
-        row, i, j, score = (np.concatenate(p) for p in zip(*parts))
-        offsets = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(left)))))
-        hits = pa.StructArray.from_arrays(
-            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(score, pa.float64())], names=["i", "j", "score"]
-        )
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), hits)
+        return rank_batch(left, right, digits, cutoff, k)
 
     return rank(items, candidates)

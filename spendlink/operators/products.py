@@ -33,21 +33,26 @@ def _gram_rows(texts: DataFrame, keep: str, text: str, grams: str) -> DataFrame:
     return texts.selectExpr(keep, f"split({text}, '') AS chars").selectExpr(keep, f"explode({grams}) AS gram")
 
 
+def digest(text: str) -> str:
+    return f"unhex(md5({text}))"
+
+
 def contains_join(needles: DataFrame, names: DataFrame) -> DataFrame:
-    """All ``(needle, name)`` with the needle inside the name, as equi-joins.
+    """All ``(needle, digest, name)`` with the needle inside the name, as equi-joins; the digest stands for the name.
 
     Each needle probes with its rarest trigram only (its whole text if shorter); the pairs found are then verified.
     Grams carry a digest of the name, not the name, so long names are shuffled once and not once per gram. A needle
     with a trigram no name has is dropped before the join.
+
+    Grams are counted with partial aggregation, so a common gram is one row per task. The grams of the names then meet
+    the probes in a join of their own exchange, which adaptive execution can split at a hot gram.
     """
     needles = needles.select("needle").filter("needle <> ''").distinct()
-    names = names.select("name").filter("name <> ''").distinct().selectExpr("unhex(md5(name)) AS digest", "name")
+    names = names.select("name").filter("name <> ''").distinct().selectExpr(f"{digest('name')} AS digest", "name")
     longest = f"CASE size(chars) WHEN 1 THEN {_grams('chars', 1)} WHEN 2 THEN {_grams('chars', 2)}"
     needle_grams = _gram_rows(needles, "needle", "needle", f"{longest} ELSE {_grams('chars', GRAM)} END")
     every_size = ", ".join(_grams("chars", n) for n in range(1, GRAM + 1))
-    name_grams = _gram_rows(names, "digest", "name", f"concat({every_size})").join(
-        needle_grams.select("gram").distinct(), "gram", "left_semi"
-    )
+    name_grams = _gram_rows(names, "digest", "name", f"concat({every_size})")
     frequency = name_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     probes = (
         needle_grams.join(frequency, "gram", "left")
@@ -57,7 +62,7 @@ def contains_join(needles: DataFrame, names: DataFrame) -> DataFrame:
         .selectExpr("needle", "rarest.gram AS gram")
     )
     suspects = probes.join(name_grams, "gram").select("needle", "digest")
-    return suspects.join(names, "digest").filter("contains(name, needle)").select("needle", "name")
+    return suspects.join(names, "digest").filter("contains(name, needle)").select("needle", "digest", "name")
 
 
 def with_content_id(products: DataFrame) -> DataFrame:
@@ -75,9 +80,10 @@ def products_by_name(drugs: DataFrame, products: DataFrame, name_columns: list[s
     """
     per_column = [f"struct({rank} AS name_rank, lower({c}) AS name)" for rank, c in enumerate(name_columns, start=1)]
     named = products.selectExpr("id", f"inline(array({', '.join(per_column)}))").filter("name IS NOT NULL")
-    pairs = contains_join(drugs.selectExpr("drug_name AS needle"), named)
+    pairs = contains_join(drugs.selectExpr("drug_name AS needle"), named).select("needle", "digest")
+    by_digest = named.selectExpr("id", "name_rank", f"{digest('name')} AS digest")
     return (
-        pairs.join(named, "name")
+        pairs.join(by_digest, "digest")
         .groupBy(F.col("needle").alias("drug_name"), "id")
         .agg(F.min("name_rank").alias("name_rank"))
     )
