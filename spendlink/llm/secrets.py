@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlink.llm.common import map_arrow, table
+from spendlink.llm.common import map_arrow, table, unused
 from spendlink.sources.shared import materialize
 
 KINDS = ("assign", "access", "hex", "opaque")
@@ -132,7 +132,8 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     """``docs`` with every reported span replaced by ``<secret:kind>``; texts without spans stay as they are.
 
     Base spans need no statistics and are masked in the scan. Only texts that may hold an opaque candidate meet the
-    ownership counts, by a join on the digests of their candidates.
+    ownership counts, by a join on the digests of their candidates. ``docs`` must number its rows the same way whenever it
+    is read, as a table of files does.
     """
     schema = docs.schema
     at = schema.fieldNames().index(text_col)
@@ -153,15 +154,13 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
 
     may_hold = F.coalesce(F.col(text_col).rlike(OPAQUE_RUN), F.lit(False))
     plain = map_arrow(docs.filter(~may_hold), base, schema)
-    opaque = docs.filter(may_hold).withColumn("__row", F.monotonically_increasing_id())
+    row, spans = unused(docs, "__row"), unused(docs, "__spans")
     scanned = scan_corpus(docs, id_col, text_col, owner_col)
-    keyed = scanned.filter(F.exists("spans", lambda s: s["kind"] == 3)).select(
-        F.col("doc_id").alias("__id"),
-        F.transform(F.filter("spans", lambda s: s["kind"] == 3), lambda s: F.struct(s["start"], s["kind"], s["stop"])).alias("__spans"),
-    )
-    # A document id may repeat with other texts: spans that do not fit a text's own scan are not used.
-    per_id = keyed.groupBy("__id").agg(F.flatten(F.collect_set("__spans")).alias("__spans"))
-    with_spans = opaque.join(per_id, F.col(id_col).eqNullSafe(F.col("__id")), "left").drop("__id", "__row")
+    live_spans = F.transform(F.filter("spans", lambda s: s["kind"] == 3), lambda s: F.struct(s["start"], s["stop"]))
+    keyed = scanned.filter(F.exists("spans", lambda s: s["kind"] == 3)).select(F.col("row").alias(row), live_spans.alias(spans))
+    # Rows are numbered before the filter, as the scan numbers them: repeated or null ids do not meet.
+    opaque = docs.withColumn(row, F.monotonically_increasing_id()).filter(may_hold)
+    with_spans = opaque.join(keyed, row, "left").drop(row)
 
     def both(batch):
         texts = []

@@ -69,6 +69,18 @@ def test_masked(spark):
     assert all(not base(t) for _, t in out if t and "secret:" not in t and len(t) < 1000)
 
 
+def test_masked_rows_of_one_id(spark):
+    """Spans belong to rows, not to ids; columns may be called like the operator's own."""
+    live = "Zq8Lw3Xr5Tn7Yk2Bv9Mc4Hd6Jf1Gs0Pa"
+    rows = [(None, f"{live} a", "s1", "x", 0), (None, f"{SHARED[:2]}", "s1", "y", 1), (None, None, None, None, None), (None, f"{live} b", "s1", "z", 3)]
+    schema = "doc_id bigint, text string, source string, __row string, __spans int"
+    out = secrets.masked(spark.createDataFrame(rows, schema))
+    assert out.columns == ["doc_id", "text", "source", "__row", "__spans"]
+    assert sorted(((r["__row"], r.text, r["__spans"]) for r in out.collect()), key=str) == sorted(
+        [("x", "<secret:opaque> a", 0), ("y", SHARED[:2], 1), (None, None, None), ("z", "<secret:opaque> b", 3)], key=str
+    )
+
+
 def test_empty(spark):
     assert secrets.report(secrets.scan_corpus(frame(spark, []))).collect() == []
     assert secrets.masked(frame(spark, [])).collect() == []
