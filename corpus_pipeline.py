@@ -19,16 +19,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlink.llm import bpe, decontaminate, jaccard, secrets, toxicity
-from spendlink.llm.common import table
+from spendlink.llm.common import table, unused
 from spendlink.sources.shared import materialize
 
-ROW, SCORE = "__row", "__toxicity"
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    score = unused(docs, "__toxicity")
     machine = toxicity.train(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
-    scored = toxicity.with_score(docs, machine, out=SCORE)
-    return scored.filter(F.col(SCORE) < 0.5).drop(SCORE)
+    scored = toxicity.with_score(docs, machine, out=score)
+    return scored.filter(F.col(score) < 0.5).drop(score)
+
+
+def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` without the rows numbered in rows(row)."""
+    row = unused(docs, "__row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    left = numbered.join(rows.select(F.col("row").alias(row)), row, "left_anti")
+    return left.drop(row)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,17 +43,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = jaccard.near_duplicates(docs, key=place.cast("string")).filter(F.col("group").isNotNull())
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("key").cast("bigint").alias("row"))
     found = materialize(found.select("group", row.alias("r")), "near-duplicates")
-    kept = found.groupBy("group").agg(F.min("r").alias("r")).select(F.col("r.row").alias("kept"))
-    rows = found.select(F.col("r.row").alias(ROW))
-    gone = rows.join(kept, F.col(ROW) == F.col("kept"), "left_anti")
-    return docs.withColumn(ROW, place).join(gone, ROW, "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    kept = found.groupBy("group").agg(F.min("r").alias("r")).select(F.col("r.row").alias("row"))
+    return without(docs, found.select("r.row").join(kept, "row", "left_anti"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    gone = judged.filter("contaminated").select(F.col("row").alias(ROW))
-    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
-    return numbered.join(gone, ROW, "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    return without(docs, judged.filter("contaminated").select("row"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
