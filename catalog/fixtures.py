@@ -240,7 +240,7 @@ class Inputs:
 
     @cached_property
     def predictions(self) -> DataFrame:
-        return self.part.filter(PROMOTED).selectExpr(*PREDICTIONS)
+        return self.part.selectExpr(*PREDICTIONS)
 
     @cached_property
     def codes_by_drug(self) -> DataFrame:

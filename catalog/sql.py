@@ -63,7 +63,7 @@ CTES = {
     "prices": relation(fx.PRICE_COLUMNS, "price_lines JOIN part ON l_partkey = p_partkey"),
     "human": relation(fx.HUMAN_PRODUCTS, "part", f"NOT {fx.VET}"),
     "animal": relation(fx.ANIMAL_PRODUCTS, "part", fx.VET),
-    "predictions": relation(fx.PREDICTIONS, "part", fx.PROMOTED),
+    "predictions": relation(fx.PREDICTIONS, "part"),
     "codes_by_drug": f"SELECT drug_name, {fx.JSON_BY_DRUG} AS response FROM"
     f" (SELECT DISTINCT {fx.FIRST_WORD} AS drug_name FROM part)",
     # Preparation of the items, step by step.

@@ -5,7 +5,7 @@ CSV keeps item numbers as text, so leading zeros survive until cleaning.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,15 +36,20 @@ def read_items(spark: SparkSession, path, fmt: str = "csv", **options) -> DataFr
     return named.fillna("", subset=ITEM_COLUMNS).withColumn("row_id", F.monotonically_increasing_id())
 
 
-def alias_pairs(sheet: DataFrame) -> DataFrame:
+def _file_order() -> Column:
+    """Orders rows just read by file, part of a file and place in it; Spark may read files in another order."""
+    return F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place"))
+
+
+def alias_pairs(sheet: DataFrame, order: Column | None = None) -> DataFrame:
     """Wide alias sheet to ``(alias, canonical)``.
 
-    First column canonical name, second the number n of aliases, then n aliases; later rows and columns win.
+    First column canonical name, second the number n of aliases, then n aliases; later rows (by ``order``) and columns win.
     """
     canonical, count, *aliases = sheet.columns
     listed = sheet.select(
         F.col(canonical).alias("canonical"),
-        F.monotonically_increasing_id().alias("row_no"),
+        (F.monotonically_increasing_id() if order is None else order).alias("row_no"),
         F.slice(F.array(*aliases), F.lit(1), F.greatest(F.col(count).cast("int"), F.lit(0))).alias("aliases"),
     )
     pairs = listed.select("canonical", "row_no", F.posexplode("aliases").alias("pos", "alias"))
@@ -61,22 +66,23 @@ def read_alias_map(spark: SparkSession, path) -> DataFrame:
     counts = _positional_csv(spark, path, ["canonical", "n"], **options)
     widest = counts.agg(F.max(F.expr("try_cast(n AS INT)"))).first()[0] or 0
     names = ["canonical", "n", *(f"alias_{i}" for i in range(max(1, widest)))]
-    return alias_pairs(_positional_csv(spark, path, names, **options))
+    return alias_pairs(_positional_csv(spark, path, names, **options), _file_order())
 
 
-def keyword_pairs(sheet: DataFrame) -> DataFrame:
-    """Two columns to lower-cased ``(keyword, full_name)``; the last row of a keyword wins."""
+def keyword_pairs(sheet: DataFrame, order: Column | None = None) -> DataFrame:
+    """Two columns to lower-cased ``(keyword, full_name)``; the last row (by ``order``) of a keyword wins."""
     keyword, full_name = sheet.columns[:2]
     numbered = sheet.select(
         F.lower(keyword).alias("keyword"),
         F.lower(full_name).alias("full_name"),
-        F.monotonically_increasing_id().alias("row_no"),
+        (F.monotonically_increasing_id() if order is None else order).alias("row_no"),
     )
     return numbered.groupBy("keyword").agg(F.expr("max(struct(row_no, full_name)).full_name AS full_name"))
 
 
 def read_keyword_map(spark: SparkSession, path) -> DataFrame:
-    return keyword_pairs(_positional_csv(spark, path, ["keyword", "full_name"], header=False, multiLine=True, escape='"'))
+    sheet = _positional_csv(spark, path, ["keyword", "full_name"], header=False, multiLine=True, escape='"')
+    return keyword_pairs(sheet, _file_order())
 
 
 # Headers of the priority sheet that are used.

@@ -57,6 +57,19 @@ def test_sheets(spark, tmp_path):
     assert [(r.item_description, r.clean_description, r.processed_clean_desc) for r in got] == [("I", "C", "P")]
 
 
+def test_last_file_wins(spark, tmp_path):
+    """Files count in the order of their names, also where a later one is larger and read first."""
+    more = [[f"w{i}", f"word {i}"] for i in range(3000)]
+    write_csv(tmp_path / "kw" / "a.csv", [["tab", "first"]])
+    write_csv(tmp_path / "kw" / "b.csv", [["tab", "second"], *more])
+    pairs = dict(map(tuple, readers.read_keyword_map(spark, str(tmp_path / "kw")).collect()))
+    assert pairs["tab"] == "second" and len(pairs) == 3001
+    header = ["canonical", "n", "alias"]
+    write_csv(tmp_path / "alias" / "a.csv", [header, ["A", 1, "x"]])
+    write_csv(tmp_path / "alias" / "b.csv", [header, ["B", 1, "x"], *([f"C{i}", 1, f"y{i}"] for i in range(3000))])
+    assert dict(map(tuple, readers.read_alias_map(spark, str(tmp_path / "alias")).collect()))["x"] == "B"
+
+
 def test_jdbc_options_reach_the_reader(spark):
     with pytest.raises(Exception, match="(?i)driver|jdbc"):
         readers.read_table(spark, "t", fmt="jdbc", url="jdbc:none:x", driver="no.such.Driver")
