@@ -1,18 +1,20 @@
 """Language-model scores by prediction by partial matching (PPM) over bytes, and unigram base scores.
 
-**Model.** A text is its UTF-8 bytes and an end symbol. All training texts are counted into a trie of byte contexts of
-up to ``ORDER`` = 2 symbols (the start of a text counts as two end symbols): counts are summed inside each batch, then
-over the corpus. A symbol is coded in its longest known context; there it has ``count / (total + distinct)``, and the
-escape to the next shorter context has ``distinct / (total + distinct)``. Symbols of the longer context are excluded from
-the shorter ones; below order 0 the symbols not yet excluded are equally likely. A context that has all symbols left needs
-no escape. The probabilities of a context therefore sum to 1, and so do those of all texts. They are worked out once per
-context; the table has at most 257**2 + 257 contexts of 257 numbers (68 MB; a few MB on real text), which bounds the
-broadcast whatever the corpus.
-
-**Base score.** Tokens of the whole corpus are counted exactly. Each slice of a batch of documents turns into one row per
-distinct token with the packed places of its documents; rows meet their count by a join on the token and go back to their
-batch, where the logarithms are added per document. A token has one row per slice, not one per occurrence, and adaptive
-execution splits the join of a frequent one.
+**Model.** A text is its UTF-8 bytes and an end symbol. All training texts are counted into a trie of byte contexts of up
+to ``order`` symbols (the start of a text counts as end symbols); the registered query uses ``DEPTH`` = 5. A symbol is
+coded in its longest known context; there it has ``count / (total + distinct)``, and the escape to the next shorter
+context has ``distinct / (total + distinct)``. Symbols of the longer context are excluded from the shorter ones; below
+order 0 the symbols not yet excluded are equally likely. A context that has all symbols left needs no escape. The
+probabilities of a context therefore sum to 1, and so do those of all texts.
+
+**Tables.** One pass cuts the documents into slices and writes a table: the slice's packed texts; its distinct
+(context, symbol) pairs with their training counts; its distinct tokens with theirs. Pairs and tokens are packed by a hash
+(for pairs, of the three nearest symbols) into ``BUCKETS`` rows a slice. Each bucket gathers its rows from all slices,
+sums the counts, works out the probability of every pair, and answers each slice's row in its own order; a slice then
+meets its answers. What is gathered grows with the distinct pairs of the corpus; none of it is collected or broadcast but
+the pairs of order 2, of which there are at most 257**3, as the lower orders serve all buckets. Texts are read once.
+
+**Base score.** Tokens of the whole corpus are counted exactly, in the same buckets; the logarithms are added per document.
 
 Null and empty texts consist of the end token (and end symbol) alone. Repeated rows are learned from and scored each; a
 null id counts as the empty id. An empty table gives an empty result; without training rows the counts are 0 and the model
@@ -21,9 +23,10 @@ is uniform. Other columns are left aside.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,25 +34,30 @@ from spendlink.llm.common import as_bytes, fold, map_arrow, table
 from spendlink.sources.shared import materialize
 
 FOLDS, HELD_OUT = 7, 2
+#: The order up to which counts serve all buckets, and the least a model can have.
 ORDER = 2
+#: The order of the registered query.
+DEPTH = 5
 END = 256
 SYMBOLS = 257
-#: Stands for the end of a text among the tokens; a token has no blanks.
-END_TOKEN = b" "
-STEP = 1 << 22
-#: Bytes of text whose tokens are put together in one go.
-SLICE = 1 << 24
+#: Bytes of text that are put together in one go.
+SLICE = 1 << 23
+BUCKETS = 1024
+#: Cells of a dense table that numbers contexts; beyond it they are sorted.
+DENSE = 1 << 24
+#: Kinds of rows.
+TEXTS, PAIRS, TOKENS, LOW = range(4)
 
 
-def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in one array, two end symbols before each and after the last; and where each text starts."""
+def symbols(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """All texts in one array, ``order`` end symbols before each and after the last; and where each text starts."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    out = np.full(int(sizes.sum()) + 2 * len(texts) + 2, END, np.int32)
-    starts = 2 + np.concatenate([[0], np.cumsum(sizes + 2)])[:-1] if len(texts) else np.empty(0, np.int64)
+    out = np.full(int(sizes.sum()) + order * (len(texts) + 1), END, np.int16)
+    starts = order + np.concatenate([[0], np.cumsum(sizes + order)])[:-1] if len(texts) else np.empty(0, np.int64)
     inner = np.ones(len(out), bool)
-    inner[:2] = False
-    inner[starts + sizes] = False
-    inner[starts + sizes + 1] = False
+    inner[:order] = False
+    for k in range(order):
+        inner[starts + sizes + k] = False
     out[inner] = np.frombuffer(b"".join(texts), np.uint8)
     return out, starts
 
@@ -57,6 +65,7 @@ def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def coded(texts: list[bytes]):
     """Per symbol to be coded: the number of its context (two symbols) and the symbol; and the first one of each text."""
     x, starts = symbols(texts)
+    x = x.astype(np.int32)
     context = x[:-2] * SYMBOLS + x[1:-1]
     symbol = x[2:]
     keep = np.ones(len(symbol), bool)
@@ -66,44 +75,51 @@ def coded(texts: list[bytes]):
     return context[keep], symbol[keep], first
 
 
-def trie_counts(docs: DataFrame) -> DataFrame:
-    """(context, symbol, n) over docs(text)."""
-
-    def count(texts):
-        context, symbol, _ = coded(texts)
-        code = context.astype(np.int64) * SYMBOLS + symbol
-        values, inverse = np.unique(code, return_inverse=True) if len(code) < 1 << 16 else (None, None)
-        if values is None:  # few distinct symbols: count in a dense cube of those that occur
-            used = np.unique(np.concatenate([symbol, [END]]))
-            place = np.zeros(SYMBOLS, np.int64)
-            place[used] = np.arange(len(used))
-            k = len(used)
-            dense = (place[context // SYMBOLS] * k + place[context % SYMBOLS]) * k + place[symbol]
-            n = np.bincount(dense, minlength=k**3)
-            at = np.flatnonzero(n)
-            return (used[at // (k * k)] * SYMBOLS + used[at // k % k]) * SYMBOLS + used[at % k], n[at]
-        return values, np.bincount(inverse, minlength=len(values))
-
-    def work(batch):
-        parts, texts, size = [], [], 0
-        for text in as_bytes(batch.column(0)):
-            texts.append(text.as_py() or b"")
-            size += len(texts[-1])
-            if size >= STEP:
-                parts.append(count(texts))
-                texts, size = [], 0
-        if texts:
-            parts.append(count(texts))
-        values, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        n = np.bincount(inverse, np.concatenate([p[1] for p in parts]), len(values)).astype(np.int64)
-        return pa.record_batch([pa.array(values // SYMBOLS, pa.int32()), pa.array(values % SYMBOLS, pa.int32()), pa.array(n)], ["context", "symbol", "n"])
-
-    counted = map_arrow(docs.select("text"), work, "context int, symbol int, n bigint")
-    return counted.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+def pairs(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (context, symbol) pairs, ascending, and the place of each coded symbol's pair among them. A pair is a
+    number to the base 257: the nearest symbol of the context, the next one, ..., the symbol itself."""
+    x, starts = symbols(texts, order)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    keep = np.ones(len(x) - order, bool)
+    for k in range(1, order):
+        keep[starts + sizes + k - order] = False
+    used = np.flatnonzero(np.bincount(x, minlength=SYMBOLS))
+    place = np.zeros(SYMBOLS, np.int16)
+    place[used] = np.arange(len(used))
+    x, k = place[x], len(used)
+    code, number = np.zeros(1, np.int64), np.zeros(int(keep.sum()), np.int32)
+    for at in [*range(order - 1, -1, -1), order]:
+        part = x[at : len(x) - order + at][keep]
+        cells = len(code) * k
+        key = number.astype(np.int64) if cells >= 1 << 31 else number
+        key *= k
+        key += part
+        if cells <= DENSE:
+            seen = np.zeros(cells, bool)
+            seen[key] = True
+            known = np.flatnonzero(seen)
+            names = np.empty(cells, np.int32)
+            names[known] = np.arange(len(known), dtype=np.int32)
+            number = names[key]
+        else:
+            known, number = np.unique(key, return_inverse=True)
+            number = number.astype(np.int32)
+        code = code[known // k] * SYMBOLS + used[known % k]
+    return code, number
+
+
+def bucket_of(code: np.ndarray, order: int) -> np.ndarray:
+    near = (code // SYMBOLS ** max(1, order - 2)).astype(np.uint64)
+    return ((near * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % BUCKETS
+
+
+def token_bucket(token: bytes) -> int:
+    return zlib.crc32(token) % BUCKETS
 
 
 class Model:
-    """``row[context]`` is the row of ``log10`` with the symbols' log probabilities."""
+    """The whole model of order 2 as a dense table: ``row[context]`` is the row of ``log10`` with the symbols' log
+    probabilities. Tests hold the packed pairs against it."""
 
     def __init__(self, context: np.ndarray, symbol: np.ndarray, n: np.ndarray):
         known, place = np.unique(context, return_inverse=True)
@@ -130,7 +146,7 @@ class Model:
         first, size = 0, 0
         for i, text in enumerate(texts):
             size += len(text)
-            if size >= STEP or i + 1 == len(texts):
+            if size >= SLICE or i + 1 == len(texts):
                 context, symbol, starts = coded(texts[first : i + 1])
                 out[first : i + 1] = np.add.reduceat(self.log10[self.row[context], symbol].astype(np.float64), starts)
                 first, size = i + 1, 0
@@ -157,126 +173,256 @@ def _blend(levels: list[np.ndarray]) -> np.ndarray:
     return np.log10(np.maximum(p, 1e-300)).astype(np.float32)
 
 
-def train(docs: DataFrame) -> Model:
-    """Over docs(text). What comes to the driver is bounded by the number of contexts times symbols."""
-    t = trie_counts(docs).toArrow()
-    context, symbol, n = (t.column(c).to_numpy() for c in ("context", "symbol", "n"))
-    order = np.lexsort((symbol, context))
-    return Model(context[order].astype(np.int64), symbol[order].astype(np.int64), n[order])
+class Low:
+    """Counts up to order 2, from the distinct pairs of order 2 (ascending) and their training counts."""
+
+    def __init__(self, code: np.ndarray, n: np.ndarray):
+        self.code, self.n = code, n.astype(float)
+        near, symbol = code // SYMBOLS**2, code % SYMBOLS
+        self.n1 = np.zeros((SYMBOLS, SYMBOLS))
+        np.add.at(self.n1, (near, symbol), self.n)
+        self.n0 = self.n1.sum(axis=0)
+        self.context, inverse = np.unique(code // SYMBOLS, return_inverse=True)
+        size = len(self.context)
+        self.by_context = [
+            np.bincount(inverse, w, size) for w in (self.n, np.ones(len(code)), self.n1[near, symbol])
+        ]
+        self.by_near = [self.n1.sum(axis=1), (self.n1 > 0).sum(axis=1), ((self.n1 > 0) * self.n0).sum(axis=1)]
+
+    def levels(self, code: np.ndarray, symbol: np.ndarray, order: int):
+        """For orders 2, 1 and 0: the symbol's count, the context's total and distinct symbols, and what the symbols of the
+        context count in the next shorter one."""
+        context = code // SYMBOLS ** (order - 1)
+        near = context // SYMBOLS
+        yield _at(self.code, self.n, context * SYMBOLS + symbol), *(_at(self.context, a, context) for a in self.by_context)
+        yield self.n1[near, symbol], *(a[near] for a in self.by_near)
+        yield self.n0[symbol], *(np.full(len(code), float(a)) for a in (self.n0.sum(), (self.n0 > 0).sum(), 0))
+
+
+def _at(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    if not len(keys):
+        return np.zeros(len(wanted))
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0.0)
+
+
+def probabilities(code: np.ndarray, n: np.ndarray, low: Low, order: int) -> np.ndarray:
+    """log10 probability of each distinct pair (ascending). All pairs that share their three nearest symbols must be there;
+    pairs that no training text has count 0."""
+    symbol = code % SYMBOLS
+    levels = []  # from the longest context on: count, total, distinct, what its symbols count one level below
+    counted = list(low.levels(code, symbol, order))
+    below = counted[0][0]
+    for k in range(ORDER + 1, order + 1):
+        context = code // SYMBOLS ** (order - k + 1)
+        _, first, inverse = np.unique(context * SYMBOLS + symbol, return_index=True, return_inverse=True)
+        sums = np.bincount(inverse, n, len(first))
+        _, of = np.unique(context, return_inverse=True)
+        owner, seen = of[first], sums > 0
+        by_context = [np.bincount(owner, w, of.max() + 1) for w in (sums, seen, seen * below[first])]
+        levels.append((sums[inverse], *(a[of] for a in by_context)))
+        below = sums[inverse]
+    levels = levels[::-1] + counted
+    p, left, done = np.zeros(len(code)), np.ones(len(code)), np.zeros(len(code), bool)
+    out, out_n = np.zeros(len(code)), np.zeros(len(code))  # symbols excluded so far, and what they count here
+    for count, total, distinct, next_n in levels:
+        rest, kinds = total - out_n, distinct - out
+        escape = np.where(kinds < SYMBOLS - out, kinds, 0)
+        known = kinds > 0
+        bottom = np.where(known, rest + escape, 1.0)
+        hit = ~done & (count > 0)
+        p[hit] = (left * count / bottom)[hit]
+        left = np.where(known, left * escape / bottom, left)
+        done |= hit
+        out, out_n = distinct, next_n
+    p = np.where(done, p, left / np.maximum(SYMBOLS - out, 1))
+    return np.log10(np.maximum(p, 1e-300))
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def token_rows(docs: DataFrame) -> DataFrame:
-    """(batch, token, n, places): one row per batch and token; ``n`` counts training occurrences; ``places`` holds the
-    batch's places of the token's documents (2 bytes each), then how often (1 byte each). One more row per batch, with a
-    null token, has the documents' row numbers instead. docs(row, text, training)."""
+def _pack(values: np.ndarray) -> bytes:
+    """8 bytes of raw size, then the bytes, compressed."""
+    raw = values.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True) if raw else bytes(8)
+
+
+def _unpack(data: bytes, kind) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True) if size else b"", kind)
+
+
+def _keys(code: np.ndarray) -> bytes:
+    return _pack(np.diff(code, prepend=0))
+
+
+def slices(docs: DataFrame, order: int) -> DataFrame:
+    """(slice, kind, bucket, keys, n, total, ids): see the module's text. docs(row, doc_id, text, training)."""
+    schema = f"slice bigint, kind int, bucket int, keys binary, n binary, total bigint, ids array<{docs.schema['doc_id'].dataType.simpleString()}>"
 
     def work(batch):
         out, first, size = [], 0, 0
-        lengths = pa.compute.binary_length(batch.column(1)).fill_null(0).to_pylist()
-        for i, length in enumerate(lengths):
-            size += length
-            if size >= SLICE or i + 1 - first == 1 << 15 or i + 1 == len(lengths):
-                out.append(_rows(batch.slice(first, i + 1 - first)))
+        for i, text in enumerate(as_bytes(batch.column(2))):
+            size += len(text.as_py() or b"")
+            if size >= SLICE or i + 1 == batch.num_rows:
+                out.append(_slice(batch.slice(first, i + 1 - first)))
                 first, size = i + 1, 0
         return pa.Table.from_batches(out)
 
-    def _rows(batch):
-        known: dict[bytes, int] = {}
-        number = known.setdefault
-        ids, sizes = [], np.empty(batch.num_rows, np.int64)
-        for i, text in enumerate(as_bytes(batch.column(1))):
-            own = [number(t, len(known)) for t in tokens_of(text.as_py())]
-            own.append(number(END_TOKEN, len(known)))
-            ids.append(np.array(own, np.int32))
-            sizes[i] = len(own)
-        place = np.repeat(np.arange(batch.num_rows), sizes)
-        pair, times = np.unique(np.concatenate(ids).astype(np.int64) << 16 | place, return_counts=True)
-        del ids, place
-        token, doc = pair >> 16, pair & 0xFFFF
-        training = batch.column(2).to_numpy(zero_copy_only=False)
-        n = np.bincount(token, times * training[doc], len(known)).astype(np.int64)
-        copies = -(-times // 255)  # more than 255 occurrences take several entries
-        if copies.max() > 1:
-            entry = np.repeat(np.arange(len(pair)), copies)
-            nth = np.arange(len(entry)) - np.repeat(np.cumsum(copies) - copies, copies)
-            token, doc, times = token[entry], doc[entry], np.minimum(times[entry] - 255 * nth, 255)
-        ends = np.searchsorted(token, np.arange(1, len(known) + 1)).tolist()
-        docs_raw, times_raw = doc.astype("<u2").tobytes(), times.astype(np.uint8).tobytes()
-        packed, a = [], 0
-        for b in ends:
-            packed.append(docs_raw[2 * a : 2 * b] + times_raw[a:b])
-            a = b
-        name = batch.column(0)[0].as_py()  # row numbers are unique, so the first one names the batch
-        rows = batch.column(0).to_numpy().astype("<i8").tobytes()
+    def _slice(batch):
+        texts = [t.as_py() or b"" for t in as_bytes(batch.column(2))]
+        training = batch.column(3).to_numpy(zero_copy_only=False)
+        name = batch.column(0)[0].as_py()  # row numbers are unique, so the first one names the slice
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        rows = [(TEXTS, 0, _pack(raw), _pack(np.stack([sizes, training.astype(np.int64)])), int(training.sum()))]
+        del raw
+        code, number = pairs(texts, order)
+        n = np.bincount(number[np.repeat(training, sizes + 1)], minlength=len(code))
+        near = code // SYMBOLS ** (order - 1) * SYMBOLS + code % SYMBOLS
+        low, inverse = np.unique(near, return_inverse=True)
+        low_n = np.bincount(inverse, n, len(low)).astype(np.int64)
+        rows.append((LOW, 0, _keys(low[low_n > 0]), _pack(low_n[low_n > 0]), 0))
+        del number
+        bucket = bucket_of(code, order)
+        by = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[by], np.arange(BUCKETS + 1))
+        for b in np.unique(bucket).tolist():
+            part = by[ends[b] : ends[b + 1]]
+            rows.append((PAIRS, b, _keys(code[part]), _pack(n[part].astype(np.uint32)), 0))
+        counts: dict[bytes, int] = {}
+        for text, learned in zip(texts, training.tolist(), strict=True):
+            for t in tokens_of(text):
+                counts[t] = counts.get(t, 0) + learned
+        parts: dict[int, list[bytes]] = {}
+        for t in counts:
+            parts.setdefault(token_bucket(t), []).append(t)
+        for b, own in parts.items():
+            n = np.array([counts[t] for t in own], np.uint32)
+            rows.append((TOKENS, b, _pack(np.frombuffer(b" ".join(own), np.uint8)), _pack(n), int(n.sum(dtype=np.int64))))
+        ids = pa.ListArray.from_arrays(pa.array([0, *[batch.num_rows] * len(rows)], pa.int32()), batch.column(1))
+        kinds, buckets, keys, ns, totals = zip(*rows, strict=True)
         return pa.record_batch(
             [
-                pa.array([name] * (len(packed) + 1), pa.int64()), pa.array([None, *known], pa.binary()),
-                pa.array([0, *n.tolist()], pa.int64()), pa.array([rows, *packed], pa.binary()),
+                pa.array([name] * len(rows), pa.int64()), pa.array(kinds, pa.int32()), pa.array(buckets, pa.int32()), pa.array(keys, pa.binary()),
+                pa.array(ns, pa.binary()), pa.array(totals, pa.int64()), ids,
             ],
-            ["batch", "token", "n", "places"],
+            ["slice", "kind", "bucket", "keys", "n", "total", "ids"],
         )
 
-    return map_arrow(docs.select("row", "text", "training"), work, "batch bigint, token binary, n bigint, places binary")
+    return map_arrow(docs.select("row", "doc_id", "text", "training"), work, schema)
 
 
-def base_sums(docs: DataFrame) -> tuple[DataFrame, int, int]:
-    """(row, n_tokens, n_known, sum of log10(c + 1)) for docs(row, text, training), and N and V."""
-    rows = materialize(token_rows(docs), "token-rows")
-    counts = rows.filter(F.col("token").isNotNull()).groupBy("token").agg(F.sum("n").alias("c")).filter("c > 0")
-    counts = materialize(counts, "token-counts")
-    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    met = rows.filter(F.col("token").isNotNull()).select("batch", "token", "places").join(counts, "token", "left")
-    kept = met.select("batch", F.lit(False).alias("head"), F.coalesce("c", F.lit(0)).cast("bigint").alias("c"), "places")
-    # The head rows need no count: they go round the join, where null keys would all meet in one task.
-    heads = rows.filter(F.col("token").isNull())
-    kept = kept.unionByName(heads.select("batch", F.lit(True).alias("head"), F.lit(0).cast("bigint").alias("c"), "places"))
+def low_counts(rows: DataFrame) -> Low:
+    """What comes to the driver is bounded by the number of pairs of order 2."""
 
-    def add(t: pa.Table) -> pa.Table:
-        head = t.filter(t.column("head"))
-        row = np.frombuffer(head.column("places")[0].as_py(), "<i8")
-        t = t.filter(pa.compute.invert(t.column("head")))
-        order = np.argsort(t.column("c").to_numpy(), kind="stable")
-        c = t.column("c").to_numpy()[order]
-        places = t.column("places").take(pa.array(order)).to_pylist()
-        sizes = np.array([len(p) // 3 for p in places], np.int64)
-        doc = np.frombuffer(b"".join(p[: 2 * k] for p, k in zip(places, sizes, strict=True)), "<u2")
-        times = np.frombuffer(b"".join(p[2 * k :] for p, k in zip(places, sizes, strict=True)), np.uint8).astype(float)
-        c = np.repeat(c, sizes)
-        sums = [np.bincount(doc, w, len(row)) for w in (times, times * (c > 0), times * np.log10(c + 1.0))]
+    def work(batch):
+        code = np.concatenate([np.cumsum(_unpack(k, np.int64)) for k in batch.column(0).to_pylist()])
+        n = np.concatenate([_unpack(k, np.int64) for k in batch.column(1).to_pylist()])
+        code, inverse = np.unique(code, return_inverse=True)
+        return pa.record_batch([pa.array(code), pa.array(np.bincount(inverse, n, len(code)).astype(np.int64))], ["code", "n"])
+
+    counted = map_arrow(rows.filter(F.col("kind") == LOW).select("keys", "n"), work, "code bigint, n bigint")
+    t = counted.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    code, n = t.column("code").to_numpy(), t.column("n").to_numpy()
+    by = np.argsort(code)
+    return Low(code[by], n[by])
+
+
+def answers(rows: DataFrame, low: Low, order: int) -> DataFrame:
+    """(slice, kind, bucket, keys, known): each row of pairs with their log probabilities, each row of tokens with their
+    counts; ``known`` is the bucket's number of training tokens, on its first row."""
+    shared = rows.sparkSession.sparkContext.broadcast(low)
+
+    def work(t: pa.Table) -> pa.Table:
+        keys, counts = t.column("keys").to_pylist(), [_unpack(n, np.uint32) for n in t.column("n").to_pylist()]
+        sizes = np.array([len(n) for n in counts])
+        n, known = np.concatenate(counts).astype(float), 0
+        if t.column("kind")[0].as_py() == PAIRS:
+            code, inverse = np.unique(np.concatenate([np.cumsum(_unpack(k, np.int64)) for k in keys]), return_inverse=True)
+            values = probabilities(code, np.bincount(inverse, n, len(code)), shared.value, order)[inverse].astype("<f4")
+        else:
+            place: dict[bytes, int] = {}
+            of = np.array([place.setdefault(w, len(place)) for k in keys for w in _unpack(k, np.uint8).tobytes().split(b" ")])
+            sums = np.bincount(of, n, len(place))
+            known, values = int((sums > 0).sum()), sums[of].astype("<i8")
+        ends = np.cumsum(sizes)
+        out = [_pack(values[e - s : e]) for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
         return pa.table({
-            "row": pa.array(row, pa.int64()), "n_tokens": pa.array(sums[0].astype(np.int64)), "n_known": pa.array(sums[1].astype(np.int64)),
-            "logs": pa.array(sums[2]),
+            "slice": t.column("slice"), "kind": t.column("kind"), "bucket": t.column("bucket"), "keys": pa.array(out, pa.binary()),
+            "known": pa.array([known] + [0] * (len(out) - 1), pa.int64()),
         })
 
-    # A group is one slice of documents, of bounded size.
-    sums = kept.groupBy("batch").applyInArrow(add, "row bigint, n_tokens bigint, n_known bigint, logs double")
-    return sums, totals.n, totals.v
+    asked = rows.filter(F.col("kind").isin(PAIRS, TOKENS)).select("slice", "kind", "bucket", "keys", "n")
+    return asked.groupBy("kind", "bucket").applyInArrow(work, "slice bigint, kind int, bucket int, keys binary, known bigint")
 
 
-def lm_scores(docs: DataFrame) -> DataFrame:
+def lm_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs(doc_id, text)."""
     held_out = fold("doc_id", FOLDS) == HELD_OUT
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "text", held_out.alias("held_out"), (~held_out).alias("training")
-    )
-    shared = docs.sparkSession.sparkContext.broadcast(train(rows.filter("training")))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", (~held_out).alias("training"))
+    rows = materialize(slices(numbered, order), "lm-slices")
+    answered = materialize(answers(rows, low_counts(rows), order), "lm-answers")
+    # Every training text has one end token besides its words; it is no word, so no bucket has it.
+    learned = rows.filter(F.col("kind").isin(TEXTS, TOKENS)).groupBy("kind").agg(F.sum("total").alias("n")).collect()
+    ends = sum(r.n for r in learned if r.kind == TEXTS)
+    n = sum(r.n for r in learned)
+    v = answered.agg(F.coalesce(F.sum("known"), F.lit(0)).alias("v")).first().v + (ends > 0)
 
-    def work(batch):
-        scores = shared.value.score([t.as_py() or b"" for t in as_bytes(batch.column(3))])
-        return pa.record_batch([*batch.columns[:3], pa.array(scores)], ["row", "doc_id", "held_out", "score"])
+    def add(t: pa.Table) -> pa.Table:
+        kind, bucket, keys = t.column("kind").to_numpy(), t.column("bucket").to_numpy(), t.column("keys")
+        head = int(np.flatnonzero(kind == TEXTS)[0])
+        sizes, training = _unpack(t.column("n")[head].as_py(), np.int64).reshape(2, -1)
+        raw, stops = _unpack(keys[head].as_py(), np.uint8).tobytes(), np.cumsum(sizes)
+        texts = [raw[e - s : e] for s, e in zip(sizes.tolist(), stops.tolist(), strict=True)]
+
+        def gathered(of, dtype):
+            at = np.flatnonzero(kind == of)
+            at = at[np.argsort(bucket[at])]
+            return np.concatenate([np.empty(0, dtype), *(_unpack(keys[i].as_py(), dtype) for i in at.tolist())])
+
+        code, number = pairs(texts, order)
+        logs = np.empty(len(code), np.float32)
+        logs[np.argsort(bucket_of(code, order), kind="stable")] = gathered(PAIRS, "<f4")
+        score, ends_at = np.empty(len(texts)), np.concatenate([[0], np.cumsum(sizes + 1)])
+        first = 0
+        while first < len(texts):  # a million symbols at a time, or one text
+            last = max(first + 1, int(np.searchsorted(ends_at, ends_at[first] + (1 << 20), "right")) - 1)
+            part = logs[number[ends_at[first] : ends_at[last]]].astype(float)
+            score[first:last] = np.add.reduceat(part, ends_at[first:last] - ends_at[first])
+            first = last
+        del logs, number, code
+        place: dict[bytes, int] = {}
+        number = [np.array([place.setdefault(w, len(place)) for w in tokens_of(text)], np.int32) for text in texts]
+        count = np.empty(len(place))
+        buckets = np.fromiter(map(token_bucket, place), np.int64, len(place))
+        count[np.argsort(buckets, kind="stable")] = gathered(TOKENS, "<i8")
+        words = np.fromiter(map(len, number), np.int64, len(number))
+        doc = np.repeat(np.arange(len(texts)), words)
+        c = count[np.concatenate(number)]
+        n_known = np.bincount(doc, c > 0, len(texts)).astype(np.int64) + (ends > 0)
+        base = np.bincount(doc, np.log10(c + 1), len(texts)) + np.log10(ends + 1) - (words + 1) * np.log10(n + v + 1)
+        return pa.table({
+            "doc_id": t.column("ids")[head].values, "held_out": pa.array(training == 0), "n_tokens": pa.array(words + 1),
+            "n_known": pa.array(n_known), "train_tokens": pa.array([n] * len(texts), pa.int64()), "base_score": pa.array(base), "score": pa.array(score),
+        })
 
+    texts = rows.filter(F.col("kind") == TEXTS).select("slice", "kind", "bucket", "keys", "n", "ids")
+    none = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in ("n", "ids")]
+    met = texts.unionByName(answered.select("slice", "kind", "bucket", "keys", *none))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = map_arrow(rows.select("row", "doc_id", "held_out", "text"), work, f"row bigint, doc_id {kind}, held_out boolean, score double")
-    sums, n, v = base_sums(rows)
-    base = F.col("logs") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
-    return scored.join(sums, "row").select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score"
+    # A group is one slice of documents, of bounded size.
+    return met.groupBy("slice").applyInArrow(
+        add, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores(table(spark, sf_dir, "documents"))
+def query(spark: SparkSession, sf_dir: str, order: int = ORDER) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"), order)
+
+
+def deep_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered query."""
+    return query(spark, sf_dir, DEPTH)

@@ -17,7 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_jaccard_join": jaccard.query,
     "op6_feistel_sharding": sharding.query,
     "op7_embedding_near_dups": embeddings.query,
-    "op8_lm_scoring": lm.query,
+    "op8_lm_scoring": lm.deep_query,
     "op9_secret_scan": secrets.query,
     "op10_decontamination": decontaminate.query,
     "pipeline": corpus_pipeline.run,
