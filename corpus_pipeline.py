@@ -8,7 +8,7 @@ Every stage takes (spark, docs, sf_dir). All but the last return the columns of
 * secrets: no rows; secrets in texts are replaced by ``<secret:kind>``;
 * tokens: no rows; returns doc_id, lang, source, n_tokens, ids, and whether the ids decode to the text.
 
-Rows are told apart by their place in the files of ``docs``, so rows with equal ids are judged each. Null and empty texts
+Rows are told apart by a number, written once with the stage's documents, so rows with equal ids are judged each. Null and empty texts
 pass all filters (they have no words) and encode to no tokens. Missing ``lang`` or ``source`` columns are left out. Empty
 tables give empty results.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlink.llm import bpe, decontaminate, jaccard, secrets, toxicity
-from spendlink.llm.common import table, unused
+from spendlink.llm.common import numbered, table, unused
 from spendlink.sources.shared import materialize
 
 
@@ -30,26 +30,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col(score) < 0.5).drop(score)
 
 
-def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """``docs`` without the rows numbered in rows(row)."""
-    row = unused(docs, "__row")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    left = numbered.join(rows.select(F.col("row").alias(row)), row, "left_anti")
-    return left.drop(row)
+def without(stored: DataFrame, row: str, rows: DataFrame) -> DataFrame:
+    """``stored`` without the rows numbered in rows(row), and without its column of numbers ``row``."""
+    return stored.join(rows.select(F.col("row").alias(row)), row, "left_anti").drop(row)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    place = F.monotonically_increasing_id()
-    found = jaccard.near_duplicates(docs, key=place.cast("string")).filter(F.col("group").isNotNull())
+    name = unused(docs, "__row")
+    stored = numbered(docs, name)
+    found = jaccard.near_duplicates(stored, key=F.col(name).cast("string")).filter(F.col("group").isNotNull())
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("key").cast("bigint").alias("row"))
     found = materialize(found.select("group", row.alias("r")), "near-duplicates")
     kept = found.groupBy("group").agg(F.min("r").alias("r")).select(F.col("r.row").alias("row"))
-    return without(docs, found.select("r.row").join(kept, "row", "left_anti"))
+    return without(stored, name, found.select("r.row").join(kept, "row", "left_anti"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, judged.filter("contaminated").select("row"))
+    name = unused(docs, "__row")
+    stored = numbered(docs, name)
+    judged = decontaminate.contamination(stored, table(spark, sf_dir, "benchmark"), row_col=name)
+    return without(stored, name, judged.filter("contaminated").select("row"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

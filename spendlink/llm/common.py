@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlink.sources.shared import materialize
+
 #: ASCII upper case to lower case; every byte that cannot be part of a word to a blank. Bytes from 0x80 on belong to
 #: words, so this works on UTF-8 as it does on code points.
 WORD_BYTES = bytes(
@@ -27,6 +29,12 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(df: DataFrame, row: str) -> DataFrame:
+    """``df`` with row numbers in ``row``, written once: files are split by the cores of the moment, so two reads may
+    number the same rows differently."""
+    return materialize(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
+
+
 def fold(doc_id: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % parts

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlink.llm.common import as_bytes, map_arrow, table, words_of
+from spendlink.llm.common import as_bytes, map_arrow, numbered, table, words_of
 from spendlink.sources.shared import materialize
 
 WINDOW = 10
@@ -130,14 +130,14 @@ def _search(docs: DataFrame, block: DataFrame, size: int) -> tuple[DataFrame, Da
 
 def contamination(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text: str = "text", size: int = WINDOW, block: int = BLOCK,
+    item_text: str = "text", size: int = WINDOW, block: int = BLOCK, row_col: str | None = None,
 ) -> DataFrame:
-    """row (its monotonically increasing id), doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items."""
-    narrow = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
-    )
+    """row (``row_col``, or else its monotonically increasing id), doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items."""
+    narrow = docs.select(*([F.col(row_col).alias("row")] if row_col else []), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = materialize(windows(items, item_col, item_text, size), "items")
     blocks = max(1, math.ceil(found.count() / block))
+    if not row_col:  # one block numbers its rows in its index; several indexes need the same numbers
+        narrow = numbered(narrow, "row") if blocks > 1 else narrow.withColumn("row", F.monotonically_increasing_id())
     parts = [
         _search(narrow, found.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b), size) for b in range(blocks)
     ]

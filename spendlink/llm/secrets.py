@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlink.llm.common import map_arrow, table, unused
+from spendlink.llm.common import map_arrow, numbered, table, unused
 from spendlink.sources.shared import materialize
 
 KINDS = ("assign", "access", "hex", "opaque")
@@ -88,11 +88,14 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan_corpus(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", examples: int = EXAMPLE_OWNERS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", examples: int = EXAMPLE_OWNERS,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """(row, doc_id, spans): every document row; spans are structs (start, kind, stop, owners, repositories, example)."""
+    """(row, doc_id, spans): every document row; spans are structs (start, kind, stop, owners, repositories, example).
+    ``row_col`` names the stored row numbers if there are some."""
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     narrow = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+        row.alias("row"), F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"), F.col(text_col).alias("text"),
     )
     found = materialize(candidates(narrow), "candidates")
@@ -132,8 +135,8 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     """``docs`` with every reported span replaced by ``<secret:kind>``; texts without spans stay as they are.
 
     Base spans need no statistics and are masked in the scan. Only texts that may hold an opaque candidate meet the
-    ownership counts, by a join on the digests of their candidates. ``docs`` must number its rows the same way whenever it
-    is read, as a table of files does.
+    ownership counts, by a join on the digests of their candidates. Rows are
+    numbered once, in a written table.
     """
     schema = docs.schema
     at = schema.fieldNames().index(text_col)
@@ -153,14 +156,14 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
         return pa.record_batch([pa.array(texts, c.type) if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
 
     may_hold = F.coalesce(F.col(text_col).rlike(OPAQUE_RUN), F.lit(False))
-    plain = map_arrow(docs.filter(~may_hold), base, schema)
     row, spans = unused(docs, "__row"), unused(docs, "__spans")
-    scanned = scan_corpus(docs, id_col, text_col, owner_col)
+    stored = numbered(docs, row)
+    plain = map_arrow(stored.filter(~may_hold).drop(row), base, schema)
+    scanned = scan_corpus(stored, id_col, text_col, owner_col, row_col=row)
     live_spans = F.transform(F.filter("spans", lambda s: s["kind"] == 3), lambda s: F.struct(s["start"], s["stop"]))
     keyed = scanned.filter(F.exists("spans", lambda s: s["kind"] == 3)).select(F.col("row").alias(row), live_spans.alias(spans))
-    # Rows are numbered before the filter, as the scan numbers them: repeated or null ids do not meet.
-    opaque = docs.withColumn(row, F.monotonically_increasing_id()).filter(may_hold)
-    with_spans = opaque.join(keyed, row, "left").drop(row)
+    # Rows meet by number: repeated or null ids do not meet.
+    with_spans = stored.filter(may_hold).join(keyed, row, "left").drop(row)
 
     def both(batch):
         texts = []

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlink.llm.clusters import by_key
-from spendlink.llm.common import as_bytes, map_arrow, table
+from spendlink.llm.common import as_bytes, map_arrow, numbered, table
 from spendlink.llm.jaccard import mixed
 from spendlink.sources.shared import materialize
 
@@ -491,7 +491,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, stop) for every row."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = numbered(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "row")
     ranges = repeated_ranges(rows)
     per_row = ranges.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("ranges"))
 
