@@ -7,7 +7,10 @@
    owners (sources). Copies inside one owner are reduced first, so a value that half of all rows quote costs no more
    than any other.
 3. A value that ``EXAMPLE_OWNERS`` or more owners have is a copied example, any other is owner-specific and looks live.
-   Base spans always stay, with that verdict; opaque candidates are added as spans only if one owner alone has them.
+   Base spans always stay, with that verdict; opaque candidates are added as spans if fewer than ``added`` owners have
+   them. The registered query and the pipeline add all that are no examples (``added`` = ``EXAMPLE_OWNERS``), and there
+   copies of one text count for the first of their owners only (``independent``). The number of repositories is reported;
+   it is no part of the verdict, as a live value of one owner stays live however many of its documents have it.
 
 Spans are code point offsets, end exclusive. Null and empty texts have none; a null owner counts as one owner; repeated
 rows are reported each; an empty table gives an empty result; other columns are left aside.
@@ -67,41 +70,47 @@ _SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int3
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """``found`` (array of spans with value digests) for docs(row, doc_id, owner, text); the text is dropped."""
+    """``whole`` (digest of the text) and ``found`` (array of spans with value digests) for docs(row, doc_id, owner, text);
+    the text is dropped."""
 
     def work(batch):
         lists = [
             [{"start": s, "kind": k, "stop": e, "digest": digest(v)} for s, k, e, v in scan(t.as_py() or "")] for t in batch.column(3)
         ]
-        return pa.record_batch([*batch.columns[:3], pa.array(lists, pa.list_(_SPAN))], ["row", "doc_id", "owner", "found"])
+        whole = pa.array([digest(t.as_py()) if own else None for t, own in zip(batch.column(3), lists, strict=True)], pa.binary())
+        return pa.record_batch([*batch.columns[:3], whole, pa.array(lists, pa.list_(_SPAN))], ["row", "doc_id", "owner", "whole", "found"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row bigint, doc_id {kind}, owner string, found array<{SPAN}>"
+    schema = f"row bigint, doc_id {kind}, owner string, whole binary, found array<{SPAN}>"
     return map_arrow(docs.select("row", "doc_id", "owner", "text"), work, schema)
 
 
-def ownership(found: DataFrame) -> DataFrame:
+def ownership(found: DataFrame, independent: bool = False) -> DataFrame:
     """(digest, owners, repositories): distinct owners and repositories of every value."""
-    seen = found.select("row", "owner", F.explode("found").alias("f")).select("f.digest", "owner", "row").distinct()
+    seen = found.select("row", "owner", "whole", F.explode("found").alias("f")).select("f.digest", "owner", "whole", "row").distinct()
+    if independent:
+        by_text = seen.groupBy("digest", "whole").agg(F.min("owner").alias("owner"), F.count(F.lit(1)).alias("n"))
+        by_owner = by_text.groupBy("digest", "owner").agg(F.sum("n").alias("n"))
+        return by_owner.groupBy("digest").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repositories"))
     by_owner = seen.groupBy("digest", "owner").agg(F.count(F.lit(1)).alias("n"))
     return by_owner.groupBy("digest").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repositories"))
 
 
 def scan_corpus(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", examples: int = EXAMPLE_OWNERS,
-    row_col: str | None = None,
+    row_col: str | None = None, added: int = 2, independent: bool = False,
 ) -> DataFrame:
     """(row, doc_id, spans): every document row; spans are structs (start, kind, stop, owners, repositories, example).
-    ``row_col`` names the stored row numbers if there are some."""
+    ``row_col`` names the stored row numbers if there are some; see the module's text for the last two."""
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     narrow = docs.select(
         row.alias("row"), F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"), F.col(text_col).alias("text"),
     )
     found = materialize(candidates(narrow), "candidates")
-    owned = ownership(found)
+    owned = ownership(found, independent)
     spans = found.select("row", F.explode("found").alias("f")).select("row", "f.*").join(owned, "digest")
-    spans = spans.filter((F.col("kind") < 3) | (F.col("owners") == 1))
+    spans = spans.filter((F.col("kind") < 3) | (F.col("owners") < added))
     example = (F.col("owners") >= examples).alias("example")
     per_row = spans.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", "kind", "stop", "owners", "repositories", example))).alias("spans")
@@ -131,7 +140,9 @@ def report(scanned: DataFrame) -> DataFrame:
     )
 
 
-def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source") -> DataFrame:
+def masked(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", added: int = 2, independent: bool = False
+) -> DataFrame:
     """``docs`` with every reported span replaced by ``<secret:kind>``; texts without spans stay as they are.
 
     Base spans need no statistics and are masked in the scan. Only texts that may hold an opaque candidate meet the
@@ -159,7 +170,7 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     row, spans = unused(docs, "__row"), unused(docs, "__spans")
     stored = numbered(docs, row)
     plain = map_arrow(stored.filter(~may_hold).drop(row), base, schema)
-    scanned = scan_corpus(stored, id_col, text_col, owner_col, row_col=row)
+    scanned = scan_corpus(stored, id_col, text_col, owner_col, row_col=row, added=added, independent=independent)
     live_spans = F.transform(F.filter("spans", lambda s: s["kind"] == 3), lambda s: F.struct(s["start"], s["stop"]))
     keyed = scanned.filter(F.exists("spans", lambda s: s["kind"] == 3)).select(F.col("row").alias(row), live_spans.alias(spans))
     # Rows meet by number: repeated or null ids do not meet.
@@ -180,4 +191,5 @@ COLUMNS = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(scan_corpus(table(spark, sf_dir, "documents"))).select(*COLUMNS)
+    scanned = scan_corpus(table(spark, sf_dir, "documents"), added=EXAMPLE_OWNERS, independent=True)
+    return report(scanned).select(*COLUMNS)
