@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from spendlink.llm import bpe, chat, decontaminate, embeddings, jaccard, lm, secrets, sharding, suffixes, toxicity
+from spendlink.llm import bpe, chat, decontaminate, embeddings, jaccard, lm, secrets, sharding, suffixes, toxicity, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": lm.deep_query,
     "op9_secret_scan": secrets.query,
     "op10_decontamination": decontaminate.query,
+    "op13_winnowing": winnowing.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op10_decontamination": decontaminate.SQL}
