@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from spendlink.llm import bpe, centroids, chat, decontaminate, embeddings, jaccard, lm, secrets, sharding, suffixes, toxicity, winnowing
+from spendlink.llm import bpe, centroids, chat, decontaminate, embeddings, jaccard, lm, secrets, sharding, spelling, suffixes, toxicity, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
@@ -21,7 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": secrets.query,
     "op10_decontamination": decontaminate.query,
     "op11_centroid_clustering": centroids.query,
+    "op12_spelling_variants": spelling.query,
     "op13_winnowing": winnowing.query,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op10_decontamination": decontaminate.SQL, "op11_centroid_clustering": centroids.SQL}
+ORACLES: dict[str, str] = {
+    "op10_decontamination": decontaminate.SQL,
+    "op11_centroid_clustering": centroids.SQL,
+    "op12_spelling_variants": spelling.SQL,
+}
