@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 
 import duckdb
 import pytest
@@ -24,13 +25,18 @@ def expected(docs, items):
             wins.setdefault(tuple(w[i : i + 10]), set()).add(str(item) if item is not None else "")
     out = []
     for doc_id, text in docs:
-        w, hit, who = words(text), set(), set()
+        w, hit, who, near = words(text), set(), set(), set()
+        whole = Counter(w)
         for win, owners in wins.items():
             for i in range(len(w) - len(win) + 1):
                 if tuple(w[i : i + len(win)]) == win:
                     hit |= set(range(i, i + len(win)))
                     who |= owners
-        out.append((doc_id, len(w), len(hit), len(who), hashlib.sha256(",".join(sorted(who)).encode()).hexdigest(), bool(hit)))
+            need = len(win) - len(win) // 5
+            if (Counter(win) & whole).total() >= need and any((Counter(win) & Counter(w[i : i + 19])).total() >= need for i in range(max(1, len(w) - 18))):
+                near |= owners
+        digest = hashlib.sha256(",".join(sorted(who)).encode()).hexdigest()
+        out.append((doc_id, len(w), len(hit), len(who), digest, bool(hit), len(near), ",".join(sorted(near))))
     return sorted(out, key=str)
 
 
@@ -55,11 +61,26 @@ def test_brute_force(spark, block):
     assert run(spark, DOCS, ITEMS, block=block) == expected(DOCS, ITEMS)
 
 
-def test_proximity(spark):
-    d = spark.createDataFrame(DOCS, "doc_id bigint, text string")
-    i = spark.createDataFrame([(10, A)], "item_id bigint, text string")
-    near = {r.doc_id: r.n_near_items for r in decontaminate.contamination(d, i).collect()}
-    assert near[9] == 1 and near[8] == 0
+def replaced(text, at, word):
+    w = text.split()
+    return " ".join([*w[:at], word, *w[at + 1 :]])
+
+
+def test_proximity(spark, monkeypatch):
+    """Every single word replaced, by a word of other documents or by an unknown one; scattered, shuffled and repeated words."""
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    docs = [(k, f"some words {replaced(item, k, 'unknown')} and more") for k in range(10)]
+    docs += [(20 + k, replaced(replaced(item, k, "beta"), 9 - k, "gamma")) for k in range(10)]
+    docs += [(40, " x ".join(item.split())), (41, " x y ".join(item.split())), (42, " ".join(reversed(item.split()))), (43, "alpha " * 30)]
+    docs += [(50 + k, " ".join(w for w in item.split() if w != "alpha")) for k in range(5)]  # alpha is the rarest word
+    items = [(1, item), (2, replaced(item, 4, "nowhere")), (3, "the the the the the ox ox ox ox ox"), (4, "one two"), (5, "iota kappa alpha beta gamma")]
+    docs += [(60, "the ox the ox the ox the ox"), (61, "the ox the ox the the the the the the the"), (62, "two words and one"), (63, "one two " * 40)]
+    want = expected(docs, items)
+    assert run(spark, docs, items) == want
+    near = {r[0]: r[7].split(",") for r in want}
+    assert all("1" in near[k] for k in (*range(10), 40, 42, 50)) and "1" not in near[41] and "2" in near[50]
+    monkeypatch.setattr(decontaminate, "SLICE", 3)
+    assert run(spark, docs, items, block=7) == want
 
 
 def test_empty(spark):
@@ -73,7 +94,7 @@ def test_query_and_sql(spark):
     docs = [tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
     items = [tuple(r) for r in table(spark, sf, "benchmark").select("item_id", "text").collect()]
     got = sorted((tuple(r) for r in decontaminate.query(spark, sf).collect()), key=str)
-    assert got == expected(docs, items) and any(r[-1] for r in got)
+    assert got == expected(docs, items) and any(r[5] for r in got)
     duck = duckdb.connect()
     for name in ("documents", "benchmark"):
         duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
