@@ -1,16 +1,18 @@
 """Grouping of spelling variants: all words at one inserted, deleted or replaced code point, by a trie that is a table of edges.
 
 1. Words are counted per batch before anything is shuffled.
-2. **Trie.** Every beginning of a word, and of the word reversed, is a node, named by a 128-bit hash that is rolled along the word.
-   Nodes where words end or part are kept; an edge leads from one kept node to the next and carries the letters between, so a word
-   has as many edges as there are partings on its way, however long it is. Edges are a table of (node, label, child).
-3. **Frontier.** A state is (word, position, node, edits). With no edit so far a word follows its own way and meets at every kept node all edges
-   that leave it; the first letter of such a label differs from the word's, so there the letter is replaced, inserted or left out, and
-   the rest of the label must agree. With one edit only the edge of the word's next letter is met. The frontier joins the edges
-   level by level, each level a written table, until no state is left. States that reach the end of their word at a node where a
-   word ends, with one edit, are neighbours.
+2. **Trie.** Beginnings of a word, and of the word reversed, are nodes, named by a 64-bit hash that is rolled along the word. A second
+   hash finds out if two nodes share a name; then all are named anew with another seed. Nodes where words end or part are kept;
+   an edge leads from one kept node to the next and carries the letters between, so a word has as many edges as there are partings on
+   its way, however long it is. Edges are a table of (node, label, child) with the letters that follow the child.
+3. **Frontier.** A state is (word, position, node, edits). A word without an edit parts from its own way at every kept node on it: a letter is
+   put in, or replaced by a greater one, and the rest of the label must agree. (Left-out and smaller letters are the same pairs
+   seen from the other word.) With one edit the word follows the one edge that agrees. The frontier joins the edges level by level,
+   each level a written table, until no state is left; states go on only where the next letter does. States at the end of their word,
+   at a node where a word ends, are neighbours.
 4. An edit leaves one half of the word as it is: the forward trie looks for neighbours that share the first half, the reversed one
-   for those that don't and so share the second. Words start at the node of their half, so nobody meets the dense top of a trie.
+   for those that don't and so share the second. So nobody meets the dense top of a trie, and words stand in it from about their
+   half on only.
 5. A word's form is its most frequent neighbour, if that is ``RATIO`` times as frequent; roots follow forms by pointer doubling.
 
 A node that many words pass has its edges copied to several salts and its words dealt among them; a node has at most one edge per
@@ -22,12 +24,12 @@ change the same words. Words of any length are compared whole. An empty table gi
 
 from __future__ import annotations
 
-import hashlib
 import re
 import zlib
 from collections import Counter
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,10 +40,10 @@ from spendlink.sources.shared import materialize
 LEAST_LENGTH, LEAST_COUNT, RATIO, EVERY = 7, 2, 10, 31
 #: Words per salt of a node's edges.
 SPLIT = 4096
+SEEDS = 8
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: Lower-cased runs of ASCII letters and U+00C0 to U+00FF, in UTF-8.
 _RUN = re.compile(rb"(?:[a-z]++|\xC3[\x80-\xBF])++")
-ANY = "*"
 
 
 def words_in(doc_id: bytes, text: bytes | None) -> Counter[bytes]:
@@ -76,119 +78,169 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return counted.filter(F.col("n") >= LEAST_COUNT)
 
 
-def node_names(letters: str, side: int, least: int = 1):
-    """(depth, name) of the nodes on the way of ``letters``, from depth ``least`` on."""
-    h = hashlib.blake2b(digest_size=16, person=bytes([side]))
-    for depth, letter in enumerate(letters, 1):
-        h.update(letter.encode())
-        if depth >= least:
-            yield depth, h.digest()
+def first_half(length: Column) -> Column:
+    return F.floor(length / 2).cast("int")
 
 
-def named(words: DataFrame) -> DataFrame:
-    """``words`` with the names of their last nodes, forward (which also names the word) and reversed."""
+def scrambled(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
 
-    def work(batch):
-        ends = [[], []]
-        for word in batch.column(0).to_pylist():
-            for side, letters in enumerate((word, word[::-1])):
-                ends[side].append(next(node_names(letters, side, len(letters)))[1])
-        return pa.record_batch([*batch.columns, *(pa.array(e, pa.binary()) for e in ends)], ["word", "n", "forward", "reversed"])
 
-    return map_arrow(words.select("word", "n"), work, "word string, n bigint, forward binary, reversed binary")
+def nodes_on_way(words: list[str], side: int, seed: int):
+    """For each depth: places of the words that long, and the names and checks of their nodes at that depth (two independent hashes)."""
+    texts = [w[::-1] for w in words] if side else words
+    sizes = np.array([len(t) for t in texts])
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    order = np.argsort(-sizes, kind="stable")  # those that go on are a prefix
+    name = np.full(len(texts), 2 * seed + side + 1, np.uint64)
+    check = ~name
+    for depth in range(1, int(sizes.max(initial=0)) + 1):
+        own = order[: np.searchsorted(-sizes[order], -depth, "right")]
+        letter = points[starts[own] + depth - 1]
+        name[own] = scrambled(name[own] * np.uint64(0x9E3779B97F4A7C15) + letter)
+        check[own] = scrambled(check[own] * np.uint64(0xC2B2AE3D27D4EB4F) + letter)
+        yield depth, own, name[own], check[own]
 
 
-def first_half(length: Column) -> Column:
-    return F.floor(length / 2).cast("int")
+def named(words: DataFrame, seed: int) -> DataFrame:
+    """``words`` with a number and the names of their last nodes, forward and reversed."""
+
+    def work(batch):
+        texts = batch.column(0).to_pylist()
+        ends = np.empty((2, len(texts)), np.uint64)
+        sizes = np.array([len(t) for t in texts])
+        for side in (0, 1):
+            for depth, own, name, _ in nodes_on_way(texts, side, seed):
+                done = sizes[own] == depth
+                ends[side, own[done]] = name[done]
+        return pa.record_batch([*batch.columns, *(pa.array(e.astype(np.int64)) for e in ends)], ["word", "n", "id", "forward", "reversed"])
 
+    numbered = words.select("word", "n", F.monotonically_increasing_id().alias("id"))
+    return map_arrow(numbered, work, "word string, n bigint, id bigint, forward bigint, reversed bigint")
 
-def prefixes(words: DataFrame) -> DataFrame:
-    """(forward, side, depth, node, next): the nodes on every word's way from half of the shortest word on; ``next`` is empty at its end."""
-    least = [LEAST_LENGTH // 2, LEAST_LENGTH - LEAST_LENGTH // 2]
+
+def prefixes(words: DataFrame, seed: int) -> DataFrame:
+    """(id, size, place, node, check, next): the nodes on every word's way from where a neighbour of its length, or one less, may
+    start; ``place`` is twice the depth plus the side, ``next`` the next letter, empty at the end."""
 
     def work(batch):
-        rows = []
-        for word, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for side, letters in enumerate((word, word[::-1])):
-                rows += [(name, side, depth, node, letters[depth : depth + 1]) for depth, node in node_names(letters, side, least[side])]
-        kinds = [pa.binary(), pa.int8(), pa.int32(), pa.binary(), pa.string()]
-        return pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["forward", "side", "depth", "node", "next"])
-
-    return map_arrow(words.select("word", "forward"), work, "forward binary, side tinyint, depth int, node binary, next string")
-
-
-def ways(words: DataFrame) -> DataFrame:
-    """(forward, side, letters, way): the kept nodes on the way of every word and reversed word."""
-    passed = prefixes(words)
-    nodes = passed.groupBy("node").agg(F.min("next").alias("low"), F.max("next").alias("high"), F.count(F.lit(1)).alias("passing"))
-    kept = nodes.filter("low <> high OR low = ''").select(
-        "node", F.expr("low = ''").alias("ends"), F.ceil(F.col("passing") / SPLIT).cast("int").alias("salts")
-    )
-    step = F.struct("depth", "node", "ends", "salts")
-    way = passed.join(kept, "node").groupBy("forward", "side").agg(F.sort_array(F.collect_list(step)).alias("way"))
-    letters = F.when(F.col("side") == 0, F.col("word")).otherwise(F.reverse("word")).alias("letters")
-    return way.join(words.select("forward", "word"), "forward").select("forward", "side", letters, "way")
+        texts, ids = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+        sizes = np.array([len(t) for t in texts])
+        made = []
+        for side in (0, 1):
+            turned = [t[::-1] for t in texts] if side else texts
+            least = (sizes - 1 + side) // 2
+            for depth, own, name, check in nodes_on_way(texts, side, seed):
+                use = least[own] <= depth
+                own, name, check = own[use], name[use], check[use]
+                letters = [turned[i][depth : depth + 1] for i in own.tolist()]
+                made.append(pa.record_batch(
+                    [pa.array(ids[own]), pa.array(sizes[own].astype(np.int32)), pa.array(np.full(len(own), 2 * depth + side, np.int32)), pa.array(name.astype(np.int64)),
+                     pa.array((check >> np.uint64(33)).astype(np.int32)), pa.array(letters, pa.string())],
+                    ["id", "size", "place", "node", "check", "next"],
+                ))
+        return pa.Table.from_batches(made) if made else None
+
+    return map_arrow(words.select("word", "id"), work, "id bigint, size int, place int, node bigint, check int, next string")
+
+
+def ways(words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``words`` with numbers and names, and (id, side, letters, way): the kept nodes on the way of every word and reversed word.
+
+    ``after`` holds the first letters of a node's edges; ``first`` says whether the word is the least of those that pass it, shorter
+    words first, as they stand in the trie from higher up.
+    """
+    for seed in range(SEEDS):
+        known = materialize(named(words, seed), "words")
+        passed = prefixes(known, seed)
+        nodes = passed.groupBy("node").agg(
+            F.array_sort(F.collect_set("next")).alias("next"), F.min(F.struct("size", "id")).alias("least"), F.count(F.lit(1)).alias("passing"),
+            F.min("check").alias("low"), F.max("check").alias("high"),
+        )
+        kept = nodes.filter("size(next) > 1 OR next[0] = '' OR low <> high").select(
+            "node", F.array_join("next", "").alias("after"), F.expr("next[0] = ''").alias("ends"), F.col("least.id").alias("least"),
+            F.ceil(F.col("passing") / SPLIT).cast("int").alias("salts"), F.expr("low <> high").alias("clash"),
+        )
+        step = F.struct("place", "node", "after", "ends", "salts", F.expr("id = least").alias("first"))
+        way = passed.select("id", "place", "node").join(kept, "node").groupBy("id", F.expr("place % 2").alias("side")).agg(
+            F.sort_array(F.collect_list(step)).alias("way"), F.bool_or("clash").alias("clash")
+        )
+        letters = F.when(F.col("side") == 0, F.col("word")).otherwise(F.reverse("word")).alias("letters")
+        found = materialize(way.join(known.select("id", "word"), "id").select("id", "side", letters, "way", "clash"), "ways")
+        if found.filter("clash").isEmpty():
+            return known, found.drop("clash")
+    raise ValueError("nodes share names under every seed")
 
 
 def edge_table(all_ways: DataFrame) -> DataFrame:
-    """(node, salt, letter, label, child, ends, salts): every edge by its first letter and again by ``ANY``, once per salt of its node."""
-    pairs = F.expr(
-        "inline(transform(sequence(1, size(way) - 1), i -> struct(way[i - 1].node AS node, way[i - 1].salts AS own, way[i].node AS child,"
-        " way[i].ends AS ends, way[i].salts AS salts, substring(letters, way[i - 1].depth + 1, way[i].depth - way[i - 1].depth) AS label)))"
-    )
-    each = all_ways.filter("size(way) > 1").select("letters", "way").select(pairs)
-    # All words on an edge say the same of it.
-    one = each.groupBy("node", F.substring("label", 1, 1).alias("first")).agg(F.min(F.struct("own", "child", "ends", "salts", "label")).alias("e"))
-    salted = one.select("node", "first", "e.*").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("own") - 1)))
-    return salted.select("node", "salt", F.explode(F.array("first", F.lit(ANY))).alias("letter"), "label", "child", "ends", "salts")
+    """(node, salt, edges): all edges (label, child, after, ends, salts) of every node, once per salt; at most one per letter.
 
+    Of all words on an edge, the one that is the first at its lower end reports it.
+    """
+    each = all_ways.filter("size(way) > 1").select("letters", F.expr(
+        "inline(filter(transform(sequence(1, size(way) - 1), i -> struct(way[i].first AS first, way[i - 1].node AS node, way[i - 1].salts AS own,"
+        " substring(letters, way[i - 1].place DIV 2 + 1, (way[i].place - way[i - 1].place) DIV 2) AS label, way[i].node AS child,"
+        " way[i].after AS after, way[i].ends AS ends, way[i].salts AS salts)), e -> e.first))"
+    ))
+    together = each.groupBy("node").agg(F.max("own").alias("own"), F.collect_list(F.struct("label", "child", "after", "ends", "salts")).alias("edges"))
+    return together.select("node", F.explode(F.expr("sequence(0, own - 1)")).alias("salt"), "edges")
 
-STATE = ["forward", "side", "letters", "pos", "node", "ends", "salts", "edits"]
-REACHED = "ends AND ((edits = 1 AND pos = length(letters)) OR (edits = 0 AND pos = length(letters) - 1))"
-ONWARD = "edits = 0 OR pos < length(letters)"
 
+REACHED = "pos = length(letters)"
 
-def first_states(all_ways: DataFrame) -> DataFrame:
-    """Every word at the first kept node that has the half it shares behind it."""
+
+def parted(all_ways: DataFrame) -> DataFrame:
+    """States without an edit: every word at each kept node of its way, from its shared half on, that has an edge for it to part by."""
     length = F.length("letters")
     half = F.when(F.col("side") == 0, first_half(length)).otherwise(length - first_half(length))
-    return all_ways.withColumn("half", half).select(
-        "forward", "side", "letters", F.expr("inline(slice(filter(way, s -> s.depth >= half), 1, 1))")
-    ).select("forward", "side", "letters", F.col("depth").alias("pos"), "node", "ends", "salts", F.lit(0).alias("edits"))
+    here = all_ways.withColumn("half", half).select("id", "side", "letters", F.expr(
+        "inline(transform(filter(way, s -> s.place DIV 2 >= half AND translate(s.after, substring(letters, s.place DIV 2 + 1, 1), '') <> ''),"
+        " s -> struct(s.place DIV 2 AS pos, s.node AS node, s.salts AS salts)))"
+    ))
+    return here.withColumn("edits", F.lit(0))
 
 
 def next_states(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """One level further: where the edges that the states meet lead."""
-    here = states.filter(ONWARD).select(
-        "forward", "side", "letters", "pos", "edits", "node", F.pmod(F.xxhash64("forward"), "salts").cast("int").alias("salt"),
-        F.expr(f"if(edits = 0, '{ANY}', substring(letters, pos + 1, 1))").alias("letter"), F.expr("substring(letters, pos + 1)").alias("rest"),
+    """One level further, where the edges that the states meet lead; states that can go no further are left out.
+
+    Without an edit a word parts here: the label's first letter, which isn't the word's next, is put in, or put in its place if it is the
+    greater of the two. (The other way round, the neighbour finds the word.) The rest of the label must agree with the word.
+    """
+    here = states.select(
+        "id", "side", "letters", "pos", "edits", "node", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("salt"), F.expr("substring(letters, pos + 1)").alias("rest")
     )
-    met = here.join(edges, ["node", "salt", "letter"]).withColumn("n", F.length("label"))
-    outcomes = F.expr(
-        """filter(if(startswith(rest, label), array(named_struct('pos', pos + n, 'edits', edits)), if(edits = 1, array(), array(
-             if(rest <> '' AND substring(rest, 2, n - 1) = substring(label, 2), named_struct('pos', pos + n, 'edits', 1), null),
-             if(substring(rest, 1, n - 1) = substring(label, 2), named_struct('pos', pos + n - 1, 'edits', 1), null),
-             if(substring(rest, 2, n) = label, named_struct('pos', pos + n + 1, 'edits', 1), null)))), o -> o IS NOT NULL)"""
+    met = here.join(edges, ["node", "salt"])
+    moved = F.expr(
+        """inline(filter(flatten(transform(if(edits = 0, filter(edges, e -> NOT startswith(e.label, substring(rest, 1, 1)) OR rest = ''),
+                                             filter(edges, e -> startswith(rest, e.label))),
+             e -> if(edits = 1, array(struct(pos + length(e.label) AS pos, e.child AS node, e.after AS after, e.ends AS ends, e.salts AS salts)),
+               array(if(e.label > rest AND rest <> '' AND substring(rest, 2, length(e.label) - 1) = substring(e.label, 2),
+                        struct(pos + length(e.label) AS pos, e.child AS node, e.after AS after, e.ends AS ends, e.salts AS salts), null),
+                     if(substring(rest, 1, length(e.label) - 1) = substring(e.label, 2),
+                        struct(pos + length(e.label) - 1 AS pos, e.child AS node, e.after AS after, e.ends AS ends, e.salts AS salts), null))))),
+           o -> o IS NOT NULL AND if(o.pos = length(letters), o.ends, instr(o.after, substring(letters, o.pos + 1, 1)) > 0)))"""
     )
-    led = met.select("forward", "side", "letters", F.col("child").alias("node"), "ends", "salts", F.explode(outcomes).alias("o"))
-    return led.select("forward", "side", "letters", "o.pos", "node", "ends", "salts", "o.edits").filter(f"({REACHED}) OR ({ONWARD})")
+    return met.select("id", "side", "letters", moved).select("id", "side", "letters", "pos", "node", "salts", F.lit(1).alias("edits"))
 
 
-def neighbours(words: DataFrame) -> DataFrame:
-    """(forward, near, near_n): every pair of words(word, n, forward, reversed) at one edit, in both directions, once each."""
-    all_ways = materialize(ways(words), "ways")
+def neighbours(words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """words(word, n) with numbers, and every pair of them at one edit, once: (id, n, word, near_id, near_n, near)."""
+    known, all_ways = ways(words)
     edges = materialize(edge_table(all_ways), "edges")
-    levels = [materialize(first_states(all_ways), "states")]
-    while not levels[-1].filter(ONWARD).isEmpty():
-        levels.append(materialize(next_states(levels[-1], edges), "states"))
-    reached = reduce(DataFrame.unionByName, [level.filter(REACHED).select("forward", "side", "letters", "node") for level in levels])
-    last = words.select(F.col("forward").alias("node"), F.col("word").alias("near"), F.col("n").alias("near_n")).unionByName(
-        words.select(F.col("reversed").alias("node"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    )
-    pairs = reached.join(last, "node")
-    half = first_half(F.length("letters"))
-    shares_first = F.expr("substring(reverse(letters), 1, __half) = substring(near, 1, __half)")
-    return pairs.withColumn("__half", half).filter((F.col("side") == 0) | ~shares_first).select("forward", "near", "near_n")
+    levels = [materialize(next_states(parted(all_ways), edges), "states")]
+    while not levels[-1].filter(f"NOT {REACHED}").isEmpty():
+        levels.append(materialize(next_states(levels[-1].filter(f"NOT {REACHED}"), edges), "states"))
+    reached = reduce(DataFrame.unionByName, [level.filter(REACHED).select("id", "side", "letters", "node") for level in levels])
+    near = [F.col("id").alias("near_id"), F.col("n").alias("near_n"), F.col("word").alias("near")]
+    last = known.select(F.col("forward").alias("node"), *near).unionByName(known.select(F.col("reversed").alias("node"), *near))
+    pairs = reached.join(last, "node").withColumn("half", first_half(F.length("letters")))
+    shares_first = F.expr("substring(reverse(letters), 1, half) = substring(near, 1, half)")
+    once = pairs.filter((F.col("side") == 0) | ~shares_first)
+    word = F.when(F.col("side") == 0, F.col("letters")).otherwise(F.reverse("letters")).alias("word")
+    return known, once.select("id", word, "near_id", "near_n", "near").join(known.select("id", "n"), "id")
 
 
 def with_roots(formed: DataFrame) -> DataFrame:
@@ -209,11 +261,16 @@ COLUMNS = ["word", "form", "root", "n", "n_near", "form_n"]
 
 def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``COLUMNS`` for every word."""
-    words = materialize(named(word_counts(docs, id_col, text_col)), "words")
+    words, pairs = neighbours(word_counts(docs, id_col, text_col))
+    # Both words of a pair are near the other.
+    sides = F.explode(F.array(
+        F.struct(F.col("id").alias("id"), F.col("near_n").alias("near_n"), F.col("near").alias("near")),
+        F.struct(F.col("near_id").alias("id"), F.col("n").alias("near_n"), F.col("word").alias("near")),
+    ))
     best = F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best")
-    near = neighbours(words).groupBy("forward").agg(F.count(F.lit(1)).alias("n_near"), best)
+    near = pairs.select(sides.alias("p")).select("p.*").groupBy("id").agg(F.count(F.lit(1)).alias("n_near"), best)
     frequent = -F.col("best.less") >= RATIO * F.col("n")
-    formed = words.join(near, "forward", "left").select(
+    formed = words.join(near, "id", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"), F.when(frequent, F.col("best.near")).alias("form"),
         F.when(frequent, -F.col("best.less")).alias("form_n"),
     )
