@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendlink.llm.common import release
 from spendlink.sources.shared import materialize
 
 
@@ -68,6 +69,7 @@ def per_meeting(rows: DataFrame, group: str, work: Callable[[pa.Table], pa.Recor
                 made = []
         if made:
             yield from pa.Table.from_batches(made).combine_chunks().to_batches()
+        release()
 
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 

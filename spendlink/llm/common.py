@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -50,14 +52,33 @@ def as_bytes(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
 
 
-def map_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str) -> DataFrame:
-    """``work`` on each Arrow batch; Spark bounds a batch in rows and bytes."""
+#: Bytes of a batch that are worked off at once.
+PART_BYTES = 8 << 20
+
+
+def release() -> None:
+    """Give memory that finished work held back to the system; Python workers live on and serve other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def map_arrow(
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str, whole: bool = False
+) -> DataFrame:
+    """``work`` on each Arrow batch, which Spark bounds in rows and bytes, in parts of about ``PART_BYTES``; ``whole`` batches are for work
+    that sums up what it reads."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = work(batch)
+            step = batch.num_rows if whole else max(1, batch.num_rows * PART_BYTES // max(PART_BYTES, batch.nbytes))
+            for at in range(0, batch.num_rows, step or 1):
+                out = work(batch.slice(at, step))
                 if out is not None:
                     yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+        del batches
+        release()
 
     return df.mapInArrow(run, schema)

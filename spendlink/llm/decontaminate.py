@@ -77,7 +77,7 @@ def word_counts(docs: DataFrame, words: frozenset[bytes]) -> DataFrame:
             [pa.array([w.decode() for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
         )
 
-    return map_arrow(docs.select("text"), work, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return map_arrow(docs.select("text"), work, "word string, n bigint", whole=True).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def positional_index(docs: DataFrame, terms: dict[bytes, int]) -> DataFrame:

@@ -312,7 +312,7 @@ def slices(docs: DataFrame, order: int) -> DataFrame:
             ["slice", "kind", "bucket", "keys", "n", "total", "ids"],
         )
 
-    return map_arrow(docs.select("row", "doc_id", "text", "training"), work, schema)
+    return map_arrow(docs.select("row", "doc_id", "text", "training"), work, schema, whole=True)
 
 
 def low_counts(rows: DataFrame) -> Low:
@@ -324,7 +324,7 @@ def low_counts(rows: DataFrame) -> Low:
         code, inverse = np.unique(code, return_inverse=True)
         return pa.record_batch([pa.array(code), pa.array(np.bincount(inverse, n, len(code)).astype(np.int64))], ["code", "n"])
 
-    counted = map_arrow(rows.filter(F.col("kind") == LOW).select("keys", "n"), work, "code bigint, n bigint")
+    counted = map_arrow(rows.filter(F.col("kind") == LOW).select("keys", "n"), work, "code bigint, n bigint", whole=True)
     t = counted.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     code, n = t.column("code").to_numpy(), t.column("n").to_numpy()
     by = np.argsort(code)

@@ -74,7 +74,7 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return pa.record_batch([pa.array([w.decode() for w in out], pa.string()), pa.array(list(out.values()), pa.int64())], ["word", "n"])
 
     narrow = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(text_col).alias("text"))
-    counted = map_arrow(narrow, work, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = map_arrow(narrow, work, "word string, n bigint", whole=True).groupBy("word").agg(F.sum("n").alias("n"))
     return counted.filter(F.col("n") >= LEAST_COUNT)
 
 

@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlink.llm.clusters import by_key
-from spendlink.llm.common import as_bytes, map_arrow, numbered, table
+from spendlink.llm.common import as_bytes, map_arrow, numbered, release, table
 from spendlink.llm.jaccard import mixed
 from spendlink.sources.shared import materialize
 
 LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 SHALLOW = 48
 HOT = 4096
 BLOCK_BITS, BIT = 7, 19
@@ -188,7 +188,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"gram bigint, same bigint, doc_id {kind}, row bigint, window bigint"
-    return map_arrow(docs.select("doc_id", "row", "text"), work, schema)
+    return map_arrow(docs.select("doc_id", "row", "text"), work, schema, whole=True)
 
 
 def settled(found: DataFrame) -> DataFrame:
@@ -252,6 +252,7 @@ def settled(found: DataFrame) -> DataFrame:
         close()
         if out[0]:
             yield flush()
+        release()
 
     order = ["gram", "same", "doc_id", "row", "window"]
     placed = found.repartition("gram").sortWithinPartitions(*order)
@@ -462,6 +463,7 @@ def _compared(strings: DataFrame) -> DataFrame:
                 row, start, stop = [], [], []
         if row:
             yield pa.record_batch([pa.array(row), pa.array(start, pa.int32()), pa.array(stop, pa.int32())], ["row", "start", "stop"])
+        release()
 
     placed = strings.repartition("gram").sortWithinPartitions("gram", "doc_id", "row", "place")
     return placed.select("gram", "row", "place", "before", "more", "string").mapInArrow(run, "row bigint, start int, stop int")
