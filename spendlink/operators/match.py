@@ -12,6 +12,11 @@ The join never lists the pairs of a block. Both sides' distinct texts are dealt
    meetings whose other tile has lengths that can still reach the cutoff (``2 * short / (short + long)``);
 4. one Arrow UDF ranks each meeting and returns at most ``k`` hits per item; a window merges them over meetings.
 
+The copies of a text in step 3 grow with the other side of its block. From cutoffs of about 90 on, rare grams bound them (see
+``functions.grams``): where a block's texts would have fewer cells than meetings, each text goes to one cell per rare gram,
+and items and candidates of a cell meet as those of a block do, tiles and all. Only texts too short for a bound still meet
+by length. The counts that say which grams are rare are those of the ``COMMON`` most frequent ones, a fixed number.
+
 Ties go to the smallest candidate id. Only the one-row directory of an unblocked match is broadcast; elsewhere Spark decides
 from measured sizes.
 """
@@ -24,14 +29,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spendlink.functions.grams import Grams, all_tokens, gram_plan, rare_cells
 from spendlink.functions.normalize import fast_form, fuzzy_form
 from spendlink.functions.tiles import best_in_tile
+from spendlink.sources.shared import materialize
 
 # Texts per tile. A text longer than LONG characters counts for several, which bounds bytes and work per meeting too.
 ITEM_TILE = 1024
 CANDIDATE_TILE = 2048
 LONG = 256
 BANDS_PER_OCTAVE = 4
+# Frequent grams whose counts every task gets.
+COMMON = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -82,8 +91,11 @@ def _smallest_ids(candidates: DataFrame, keys: list[str], k: int) -> DataFrame:
     return candidates.withColumn("nth", F.row_number().over(order)).filter(f"nth <= {k}").drop("nth")
 
 
-def _directory(texts: DataFrame, keys: list[str], item_tile: int, candidate_tile: int) -> DataFrame:
-    """Tile groups of both sides per block. A block has four bands per doubling of length, whatever its size."""
+def _directory(texts: DataFrame, keys: list[str], item_tile: int, candidate_tile: int, plan: Grams | None = None) -> DataFrame:
+    """Tile groups of both sides per block. A block has four bands per doubling of length, whatever its size.
+
+    ``by_grams`` tells blocks whose texts would have fewer cells than meetings.
+    """
     sides = {"item": item_tile, "cand": candidate_tile}
     # Counting candidates by id keeps the column in this branch, so both uses of the distinct texts share one shuffle.
     counted = {"item": "count(text)", "cand": "count(cand_id)"}
@@ -99,14 +111,19 @@ def _directory(texts: DataFrame, keys: list[str], item_tile: int, candidate_tile
         for side in sides
         for function, name, column in (("sum", "n", "total"), ("min", "lo", "lo"), ("max", "hi", "hi"), ("sum", "load", "load"))
     ]
+    cells = "0L" if plan is None else f"sum({plan.cells_sql('len')})"
+    meetings = f"item_total * ceil(cand_load / {candidate_tile}) + cand_total * ceil(item_load / {item_tile})"
     entry = "struct(" + ", ".join(["band", *(f"{s}_{m}" for s in sides for m in ("n", "lo", "hi", "load"))]) + ")"
     return (
         texts.groupBy(*keys, "band")
-        .agg(*per_band)
+        .agg(*per_band, F.expr(f"{cells} AS cells"))
         .groupBy(*keys)
-        .agg(F.expr(f"collect_list({entry}) AS bands"), *per_block)
+        .agg(F.expr(f"collect_list({entry}) AS bands"), F.sum("cells").alias("cells"), *per_block)
         .filter("item_total > 0 and cand_total > 0")
-        .selectExpr(*keys, *(GROUPS.format(side=side, tile_size=size) for side, size in sides.items()))
+        .selectExpr(
+            *keys, *(GROUPS.format(side=side, tile_size=size) for side, size in sides.items()),
+            "false AS by_grams" if plan is None else f"cells < {meetings} AS by_grams",
+        )
     )
 
 
@@ -131,6 +148,31 @@ def _meetings(texts: DataFrame, directory: DataFrame, keys: list[str], slack: fl
     )
 
 
+def _in_cells(texts: DataFrame, plan: Grams) -> DataFrame:
+    """Each text once per cell."""
+    tokens = texts.select(F.explode(all_tokens(F.col("text"), plan)).alias("token"))
+    counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    common = [tuple(r) for r in counted.orderBy(F.desc("n"), "token").limit(COMMON).collect()]
+    return texts.withColumn("cell", F.explode(rare_cells(F.col("text"), plan, common)))
+
+
+def _hits(met: DataFrame, keys: list[str], digits: int, cutoff: float, k: int) -> DataFrame:
+    """The best ``k`` hits of each item text in each meeting."""
+    meeting = [*keys, "item_tile", "cand_tile"]
+    # Few rows, much work per row: a fixed partition count keeps small shuffles from being merged into one task.
+    partitions = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = (
+        met.repartition(partitions, *meeting)
+        .groupBy(*meeting)
+        .agg(F.expr("collect_list(item) AS texts"), F.expr("sort_array(collect_list(cand)) AS cands"))
+        .filter("size(texts) > 0 and size(cands) > 0")
+    )
+    found = best_in_tile(F.col("texts"), F.col("cands.text"), digits, cutoff, k)
+    return tiles.select(*keys, "texts", "cands", found.alias("hits")).selectExpr(
+        *keys, "inline(transform(hits, h -> struct(texts[h.i] AS text, cands[h.j].cand_id AS cand_id, h.score AS score)))"
+    )
+
+
 def best_matches(
     items: DataFrame,
     candidates: DataFrame,
@@ -165,23 +207,25 @@ def best_matches(
     )
     # Half a unit of the last digit covers the rounding of the score.
     slack = 0.5 / 10**digits + 1e-9
-    directory = _directory(texts, keys, item_tile, candidate_tile)
+    plan = gram_plan(cutoff - slack)
+    if plan:
+        texts = materialize(texts, "match-texts")
+    directory = _directory(texts, keys, item_tile, candidate_tile, plan)
+    by_cell = None
+    if plan:
+        hot = directory.filter("by_grams").select(*keys)
+        directory = directory.filter("NOT by_grams")
+        if not hot.isEmpty():
+            celled = materialize(_in_cells(texts.join(hot, keys), plan), "match-cells")
+            inner = [*keys, "cell"]
+            met = _meetings(celled, _directory(celled, inner, item_tile, candidate_tile), inner, slack, cutoff)
+            # A pair may share several cells.
+            by_cell = _hits(met, inner, digits, cutoff, k).drop("cell").distinct()
     if not block:
         directory = F.broadcast(directory)  # a single row
-    meeting = [*keys, "item_tile", "cand_tile"]
-    # Few rows, much work per row: a fixed partition count keeps small shuffles from being merged into one task.
-    partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = (
-        _meetings(texts, directory, keys, slack, cutoff)
-        .repartition(partitions, *meeting)
-        .groupBy(*meeting)
-        .agg(F.expr("collect_list(item) AS texts"), F.expr("sort_array(collect_list(cand)) AS cands"))
-        .filter("size(texts) > 0 and size(cands) > 0")
-    )
-    found = best_in_tile(F.col("texts"), F.col("cands.text"), digits, cutoff, k)
-    hits = tiles.select(*keys, "texts", "cands", found.alias("hits")).selectExpr(
-        *keys, "inline(transform(hits, h -> struct(texts[h.i] AS text, cands[h.j].cand_id AS cand_id, h.score AS score)))"
-    )
+    hits = _hits(_meetings(texts, directory, keys, slack, cutoff), keys, digits, cutoff, k)
+    if by_cell is not None:
+        hits = hits.unionByName(by_cell)
     best = Window.partitionBy(*keys, "text").orderBy(F.desc("score"), "cand_id")
     ranked = hits.withColumn("rank", F.row_number().over(best)).filter(f"rank <= {k}")
     if settled is not None:
