@@ -41,36 +41,38 @@ LEAST_LENGTH, LEAST_COUNT, RATIO, EVERY = 7, 2, 10, 31
 #: Words per salt of a node's edges.
 SPLIT = 4096
 SEEDS = 8
+HALF = 45
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: Lower-cased runs of ASCII letters and U+00C0 to U+00FF, in UTF-8.
 _RUN = re.compile(rb"(?:[a-z]++|\xC3[\x80-\xBF])++")
 
 
-def words_in(doc_id: bytes, text: bytes | None) -> Counter[bytes]:
-    """The words of one document: runs, some of them with a code point left out as the hash of id and run says."""
-    out: Counter[bytes] = Counter()
+def count_words(doc_id: bytes, text: bytes | None, out: dict[bytes, int]) -> None:
+    """Adds the words of one document: runs, some of them with a code point left out as the hash of id and run says."""
     start = zlib.crc32(doc_id + b":")
     for run, n in Counter(_RUN.findall((text or b"").translate(_LOWER))).items():
-        if len(run) < LEAST_LENGTH:
+        size = len(run)
+        if size < LEAST_LENGTH:
             continue
         h = zlib.crc32(run, start)
-        letters = len(run) - run.count(b"\xc3")
         if h % EVERY == 0:
             word = run.decode()
-            at = h % letters
-            run, letters = (word[:at] + word[at + 1 :]).encode(), letters - 1
-        if letters >= LEAST_LENGTH:
-            out[run] += n
-    return out
+            at = h % len(word)
+            if len(word) <= LEAST_LENGTH:
+                continue
+            run = (word[:at] + word[at + 1 :]).encode()
+        elif size < 2 * LEAST_LENGTH and size - run.count(b"\xc3") < LEAST_LENGTH:
+            continue  # letters beyond ASCII have two bytes
+        out[run] = out.get(run, 0) + n
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(word, n) of all words of at least ``LEAST_LENGTH`` code points and ``LEAST_COUNT`` occurrences."""
 
     def work(batch):
-        out: Counter[bytes] = Counter()
+        out: dict[bytes, int] = {}
         for doc_id, text in zip(as_bytes(batch.column(0)), as_bytes(batch.column(1)), strict=True):
-            out.update(words_in(doc_id.as_py() or b"", text.as_py()))
+            count_words(doc_id.as_py() or b"", text.as_py(), out)
         return pa.record_batch([pa.array([w.decode() for w in out], pa.string()), pa.array(list(out.values()), pa.int64())], ["word", "n"])
 
     narrow = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(text_col).alias("text"))
@@ -122,49 +124,64 @@ def named(words: DataFrame, seed: int) -> DataFrame:
     return map_arrow(numbered, work, "word string, n bigint, id bigint, forward bigint, reversed bigint")
 
 
+def letter_masks(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sets of one letter each, as two numbers of ``HALF`` bits; bit ``HALF`` of the first stands for the end (0)."""
+    place = np.where(points < 128, points - 97, points - 0xC0 + 26)
+    low = np.where(points == 0, 1 << HALF, np.where(place < HALF, 1 << np.clip(place, 0, HALF), 0))
+    return low, np.where((points > 0) & (place >= HALF), 1 << np.clip(place - HALF, 0, HALF), 0)
+
+
+def has_letter(low: str, high: str, letter: str) -> str:
+    """SQL: whether a set has the first letter of ``letter``."""
+    place = f"if(ascii({letter}) < 128, ascii({letter}) - 97, ascii({letter}) - {0xC0 - 26})"
+    return f"(if({place} < {HALF}, shiftright({low}, {place}), shiftright({high}, {place} - {HALF})) & 1) = 1"
+
+
 def prefixes(words: DataFrame, seed: int) -> DataFrame:
-    """(id, size, place, node, check, next): the nodes on every word's way from where a neighbour of its length, or one less, may
-    start; ``place`` is twice the depth plus the side, ``next`` the next letter, empty at the end."""
+    """(id, size, place, node, check, low, high): the nodes on every word's way from where a neighbour of its length, or one less, may
+    start; ``place`` is twice the depth plus the side, ``low`` and ``high`` the set of the next letter."""
 
     def work(batch):
         texts, ids = batch.column(0).to_pylist(), batch.column(1).to_numpy()
         sizes = np.array([len(t) for t in texts])
+        starts = np.cumsum(sizes + 1) - sizes - 1
         made = []
         for side in (0, 1):
-            turned = [t[::-1] for t in texts] if side else texts
+            turned = "\0".join(t[::-1] for t in texts) if side else "\0".join(texts)
+            points = np.frombuffer((turned + "\0").encode("utf-32-le"), np.uint32).astype(np.int64)
             least = (sizes - 1 + side) // 2
             for depth, own, name, check in nodes_on_way(texts, side, seed):
                 use = least[own] <= depth
                 own, name, check = own[use], name[use], check[use]
-                letters = [turned[i][depth : depth + 1] for i in own.tolist()]
-                made.append(pa.record_batch(
-                    [pa.array(ids[own]), pa.array(sizes[own].astype(np.int32)), pa.array(np.full(len(own), 2 * depth + side, np.int32)), pa.array(name.astype(np.int64)),
-                     pa.array((check >> np.uint64(33)).astype(np.int32)), pa.array(letters, pa.string())],
-                    ["id", "size", "place", "node", "check", "next"],
-                ))
-        return pa.Table.from_batches(made) if made else None
+                masks = letter_masks(points[starts[own] + depth])
+                columns = [
+                    ids[own], sizes[own].astype(np.int32), np.full(len(own), 2 * depth + side, np.int32), name.astype(np.int64),
+                    (check >> np.uint64(33)).astype(np.int32), *masks,
+                ]
+                made.append(pa.record_batch([pa.array(c) for c in columns], ["id", "size", "place", "node", "check", "low", "high"]))
+        return pa.Table.from_batches(made).combine_chunks() if made else None
 
-    return map_arrow(words.select("word", "id"), work, "id bigint, size int, place int, node bigint, check int, next string")
+    return map_arrow(words.select("word", "id"), work, "id bigint, size int, place int, node bigint, check int, low bigint, high bigint")
 
 
 def ways(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``words`` with numbers and names, and (id, side, letters, way): the kept nodes on the way of every word and reversed word.
 
-    ``after`` holds the first letters of a node's edges; ``first`` says whether the word is the least of those that pass it, shorter
+    ``low`` and ``high`` hold the first letters of a node's edges; ``first`` says whether the word is the least of those that pass it, shorter
     words first, as they stand in the trie from higher up.
     """
     for seed in range(SEEDS):
         known = materialize(named(words, seed), "words")
         passed = prefixes(known, seed)
         nodes = passed.groupBy("node").agg(
-            F.array_sort(F.collect_set("next")).alias("next"), F.min(F.struct("size", "id")).alias("least"), F.count(F.lit(1)).alias("passing"),
-            F.min("check").alias("low"), F.max("check").alias("high"),
+            F.bit_or("low").alias("low"), F.bit_or("high").alias("high"), F.min(F.struct("size", "id")).alias("least"),
+            F.count(F.lit(1)).alias("passing"), F.expr("min(check) <> max(check)").alias("clash"),
         )
-        kept = nodes.filter("size(next) > 1 OR next[0] = '' OR low <> high").select(
-            "node", F.array_join("next", "").alias("after"), F.expr("next[0] = ''").alias("ends"), F.col("least.id").alias("least"),
-            F.ceil(F.col("passing") / SPLIT).cast("int").alias("salts"), F.expr("low <> high").alias("clash"),
+        ends = F.expr(f"shiftright(low, {HALF}) = 1")
+        kept = nodes.filter((F.expr("bit_count(low) + bit_count(high)") > 1) | ends | F.col("clash")).select(
+            "node", "low", "high", ends.alias("ends"), F.col("least.id").alias("least"), F.ceil(F.col("passing") / SPLIT).cast("int").alias("salts"), "clash"
         )
-        step = F.struct("place", "node", "after", "ends", "salts", F.expr("id = least").alias("first"))
+        step = F.struct("place", "node", "low", "high", "ends", "salts", F.expr("id = least").alias("first"))
         way = passed.select("id", "place", "node").join(kept, "node").groupBy("id", F.expr("place % 2").alias("side")).agg(
             F.sort_array(F.collect_list(step)).alias("way"), F.bool_or("clash").alias("clash")
         )
@@ -176,16 +193,17 @@ def ways(words: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def edge_table(all_ways: DataFrame) -> DataFrame:
-    """(node, salt, edges): all edges (label, child, after, ends, salts) of every node, once per salt; at most one per letter.
+    """(node, salt, edges): all edges (label, child, low, high, ends, salts) of every node, once per salt; at most one per letter.
 
     Of all words on an edge, the one that is the first at its lower end reports it.
     """
     each = all_ways.filter("size(way) > 1").select("letters", F.expr(
-        "inline(filter(transform(sequence(1, size(way) - 1), i -> struct(way[i].first AS first, way[i - 1].node AS node, way[i - 1].salts AS own,"
+        "inline(transform(filter(sequence(1, size(way) - 1), i -> way[i].first), i -> struct(way[i - 1].node AS node, way[i - 1].salts AS own,"
         " substring(letters, way[i - 1].place DIV 2 + 1, (way[i].place - way[i - 1].place) DIV 2) AS label, way[i].node AS child,"
-        " way[i].after AS after, way[i].ends AS ends, way[i].salts AS salts)), e -> e.first))"
+        " way[i].low AS low, way[i].high AS high, way[i].ends AS ends, way[i].salts AS salts)))"
     ))
-    together = each.groupBy("node").agg(F.max("own").alias("own"), F.collect_list(F.struct("label", "child", "after", "ends", "salts")).alias("edges"))
+    edge = F.struct("label", "child", "low", "high", "ends", "salts")
+    together = each.groupBy("node").agg(F.max("own").alias("own"), F.collect_list(edge).alias("edges"))
     return together.select("node", F.explode(F.expr("sequence(0, own - 1)")).alias("salt"), "edges")
 
 
@@ -196,43 +214,47 @@ def parted(all_ways: DataFrame) -> DataFrame:
     """States without an edit: every word at each kept node of its way, from its shared half on, that has an edge for it to part by."""
     length = F.length("letters")
     half = F.when(F.col("side") == 0, first_half(length)).otherwise(length - first_half(length))
-    here = all_ways.withColumn("half", half).select("id", "side", "letters", F.expr(
-        "inline(transform(filter(way, s -> s.place DIV 2 >= half AND translate(s.after, substring(letters, s.place DIV 2 + 1, 1), '') <> ''),"
-        " s -> struct(s.place DIV 2 AS pos, s.node AS node, s.salts AS salts)))"
+    edges = "bit_count(s.low) + bit_count(s.high) - if(s.ends, 1, 0) - if(s.place DIV 2 < length(letters), 1, 0)"
+    return all_ways.withColumn("half", half).select("id", "side", "letters", F.expr(
+        f"inline(transform(filter(way, s -> s.place DIV 2 >= half AND {edges} > 0), s -> struct(s.place DIV 2 AS pos, s.node AS node, s.salts AS salts)))"
     ))
-    return here.withColumn("edits", F.lit(0))
 
 
-def next_states(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """One level further, where the edges that the states meet lead; states that can go no further are left out.
+def _onward(edges: str, condition: str, pos: str) -> str:
+    """SQL: states behind those of ``edges`` that meet ``condition``, as far as the next letter, or the end, goes on from there."""
+    goes_on = f"if({pos} = length(letters), e.ends, {has_letter('e.low', 'e.high', f'substring(letters, {pos} + 1, 1)')})"
+    return f"transform(filter({edges}, e -> {condition} AND {goes_on}), e -> struct({pos} AS pos, e.child AS node, e.salts AS salts))"
 
-    Without an edit a word parts here: the label's first letter, which isn't the word's next, is put in, or put in its place if it is the
-    greater of the two. (The other way round, the neighbour finds the word.) The rest of the label must agree with the word.
-    """
+
+def _meet(states: DataFrame, edges: DataFrame, *outcomes: str) -> DataFrame:
     here = states.select(
-        "id", "side", "letters", "pos", "edits", "node", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("salt"), F.expr("substring(letters, pos + 1)").alias("rest")
+        "id", "side", "letters", "pos", "node", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("salt"), F.expr("substring(letters, pos + 1)").alias("rest")
     )
-    met = here.join(edges, ["node", "salt"])
-    moved = F.expr(
-        """inline(filter(flatten(transform(if(edits = 0, filter(edges, e -> NOT startswith(e.label, substring(rest, 1, 1)) OR rest = ''),
-                                             filter(edges, e -> startswith(rest, e.label))),
-             e -> if(edits = 1, array(struct(pos + length(e.label) AS pos, e.child AS node, e.after AS after, e.ends AS ends, e.salts AS salts)),
-               array(if(e.label > rest AND rest <> '' AND substring(rest, 2, length(e.label) - 1) = substring(e.label, 2),
-                        struct(pos + length(e.label) AS pos, e.child AS node, e.after AS after, e.ends AS ends, e.salts AS salts), null),
-                     if(substring(rest, 1, length(e.label) - 1) = substring(e.label, 2),
-                        struct(pos + length(e.label) - 1 AS pos, e.child AS node, e.after AS after, e.ends AS ends, e.salts AS salts), null))))),
-           o -> o IS NOT NULL AND if(o.pos = length(letters), o.ends, instr(o.after, substring(letters, o.pos + 1, 1)) > 0)))"""
+    return here.join(edges, ["node", "salt"]).select("id", "side", "letters", F.expr(f"inline(concat({', '.join(outcomes)}))"))
+
+
+def one_edit(states: DataFrame, edges: DataFrame) -> DataFrame:
+    """States without an edit part from their words: the label's first letter, which isn't the word's next, is put in, or put in its
+    place if it is the greater of the two. (The other way round, the neighbour finds the word.) The rest of the label must agree."""
+    replaced = "rest <> '' AND e.label > rest AND substring(rest, 2, length(e.label) - 1) = substring(e.label, 2) AND NOT startswith(rest, substring(e.label, 1, 1))"
+    put_in = "substring(rest, 1, length(e.label) - 1) = substring(e.label, 2) AND NOT startswith(rest, substring(e.label, 1, 1))"
+    return _meet(
+        states, edges, _onward("edges", replaced, "(pos + length(e.label))"), _onward("edges", put_in, "(pos + length(e.label) - 1)")
     )
-    return met.select("id", "side", "letters", moved).select("id", "side", "letters", "pos", "node", "salts", F.lit(1).alias("edits"))
+
+
+def followed(states: DataFrame, edges: DataFrame) -> DataFrame:
+    """States with an edit follow the edge that agrees with the word."""
+    return _meet(states, edges, _onward("edges", "startswith(rest, e.label)", "(pos + length(e.label))"))
 
 
 def neighbours(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """words(word, n) with numbers, and every pair of them at one edit, once: (id, n, word, near_id, near_n, near)."""
     known, all_ways = ways(words)
     edges = materialize(edge_table(all_ways), "edges")
-    levels = [materialize(next_states(parted(all_ways), edges), "states")]
+    levels = [materialize(one_edit(parted(all_ways), edges), "states")]
     while not levels[-1].filter(f"NOT {REACHED}").isEmpty():
-        levels.append(materialize(next_states(levels[-1].filter(f"NOT {REACHED}"), edges), "states"))
+        levels.append(materialize(followed(levels[-1].filter(f"NOT {REACHED}"), edges), "states"))
     reached = reduce(DataFrame.unionByName, [level.filter(REACHED).select("id", "side", "letters", "node") for level in levels])
     near = [F.col("id").alias("near_id"), F.col("n").alias("near_n"), F.col("word").alias("near")]
     last = known.select(F.col("forward").alias("node"), *near).unionByName(known.select(F.col("reversed").alias("node"), *near))
