@@ -5,9 +5,12 @@ machine scores ``w0 + sum w_i + sum over pairs <v_i, v_j>`` of the buckets prese
 of terms that only together point to an insult.
 
 Learning takes a bounded sample of the labelled rows: up to ``PER_CLASS`` of each class, those with the smallest hash of
-their id. Buckets whose presence depends on the label (chi-square of ``MIN_CHI2`` or more, ``FEATURES`` at most) get
-weights; the rest keep weight 0. The sampled share of each class is corrected by its share among all training labels.
-The sample's size bounds the training task; the model is a few hundred kB and broadcast.
+their id. Every bucket that at least ``LEAST_TEXTS`` of them have gets a weight and factors, whatever the label says about it alone, so
+terms that only tell in pairs are learned too. Weights take steps of the follow-the-regularised-leader kind: a term keeps weight 0 until
+its gradients, given all other terms, add up to ``LEAST_PULL`` an epoch. Factors start small and, after the first epochs, follow plain gradient
+steps with decay, so they grow where errors are left that weights cannot mend. The cut between the classes is put where the sample's
+error is least, with the classes weighted by their shares among all training labels. The sample's size bounds the training task
+and the number of buckets; those that training left alone are dropped, and the model is broadcast (2**20 buckets at most).
 
 Null and empty texts have no terms and get the score of the intercept. Repeated rows are scored each; of repeated
 training ids one row counts; a label that is given twice is the larger one. Without labels of both classes the score is
@@ -29,11 +32,15 @@ from spendlink.llm.common import as_bytes, fold, map_arrow, table, words_of
 BITS = 20
 FOLDS = 5
 PER_CLASS = 6_000
-FEATURES = 4_096
-MIN_CHI2 = 25.0
+#: Sampled texts that must have a bucket; one text's own terms teach nothing about others.
+LEAST_TEXTS = 2
 FACTORS = 8
-EPOCHS = 300
-RATE, DECAY = 0.05, 1e-3
+EPOCHS, WEIGHTS_FIRST, BATCH = 10, 3, 256
+#: Weights: rate of their steps, and the sum of an epoch's gradients from which on a term gets one at all, for each square root of
+#: the texts of the smaller class: as much as chance makes of a few of them.
+RATE, LEAST_PULL = 1.0, 0.04
+#: Factors: size at the beginning, rate and decay, largest step of a batch, terms of a text that counts fully.
+START, FACTOR_RATE, DECAY, LARGEST_STEP, SHORT = 0.003, 2.0, 1e-4, 0.05, 64
 KEPT = 200_000
 
 
@@ -89,52 +96,101 @@ def constant(share: float) -> Machine:
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, share: float) -> Machine:
-    """``rows``: buckets of each sampled text; ``share``: the positive share among all training labels."""
+    """``rows``: buckets of each sampled text; ``share``: the positive share among all training labels.
+
+    Fixed batches of texts in a fixed random order; a step touches the buckets of its batch.
+    """
     n, positive = len(labels), int(labels.sum())
     if positive in (0, n):
         return constant(share)
-    sizes = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows) if sizes.sum() else np.empty(0, np.int64)
-    owner = np.repeat(np.arange(n), sizes)
-    seen = np.bincount(flat, minlength=1 << BITS).astype(float)
-    hit = np.bincount(flat, weights=labels[owner], minlength=1 << BITS)
-    bottom = seen * (n - seen) * positive * (n - positive)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi2 = np.where(bottom > 0, n * (hit * n - seen * positive) ** 2 / bottom, 0.0)
-    best = np.argsort(-chi2, kind="stable")[:FEATURES]
-    bucket = np.sort(best[chi2[best] >= MIN_CHI2])
+    flat = np.concatenate(rows) if sum(map(len, rows)) else np.empty(0, np.int64)
+    bucket = np.flatnonzero(np.bincount(flat, minlength=1 << BITS) >= LEAST_TEXTS)
     if not len(bucket):
         return constant(share)
-    place = np.full(1 << BITS, -1)
-    place[bucket] = np.arange(len(bucket))
-    used = place[flat] >= 0
-    col, row = place[flat][used], owner[used]
     rng = np.random.Generator(np.random.PCG64(7))
-    theta = [np.zeros(1), np.zeros(len(bucket)), rng.normal(0, 0.01, (len(bucket), FACTORS))]
-    moment = [[np.zeros_like(t), np.zeros_like(t)] for t in theta]
-
-    def summed(values, by, size):
-        return np.stack([np.bincount(by, values[:, f], size) for f in range(FACTORS)], axis=1)
-
-    for epoch in range(1, EPOCHS + 1):
-        bias, w, v = theta
-        s = summed(v[col], row, n)
-        squares = np.bincount(row, (v * v).sum(axis=1)[col], n)
-        logit = bias[0] + np.bincount(row, w[col], n) + 0.5 * ((s * s).sum(axis=1) - squares)
-        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels) / n
-        pulled = np.bincount(col, error[row], len(bucket))
-        grads = [
-            np.array([error.sum()]),
-            pulled + DECAY * w / len(bucket),
-            summed(error[row][:, None] * s[row], col, len(bucket)) - pulled[:, None] * v + DECAY * v / len(bucket),
-        ]
-        for t, g, m in zip(theta, grads, moment, strict=True):  # Adam
-            m[0] = 0.9 * m[0] + 0.1 * g
-            m[1] = 0.999 * m[1] + 0.001 * g * g
-            t -= RATE * (m[0] / (1 - 0.9**epoch)) / (np.sqrt(m[1] / (1 - 0.999**epoch)) + 1e-8)
-    sampled = positive / n
-    shift = np.log(share / (1 - share)) - np.log(sampled / (1 - sampled)) if 0 < share < 1 else 0.0
-    return Machine(float(theta[0][0] + shift), bucket, theta[1], theta[2])
+    order = rng.permutation(n)
+    theta = np.concatenate([np.zeros((len(bucket), 1)), rng.normal(0, START, (len(bucket), FACTORS))], axis=1)
+    pulled, squares, speed, bias = np.zeros(len(bucket)), np.zeros(len(bucket)), np.zeros((len(bucket), FACTORS)), float(np.log(positive / (n - positive)))
+    least_pull = LEAST_PULL * np.sqrt(min(positive, n - positive))
+    batches = []
+    for first in range(0, n, BATCH):
+        own = order[first : first + BATCH]
+        kept = [_kept(rows[i], bucket) for i in own]
+        touched, col = np.unique(np.concatenate(kept), return_inverse=True)
+        batches.append((own, np.array([len(r) for r in kept]), touched, col.astype(np.int32)))
+    for epoch in range(EPOCHS):
+        for own, sizes, touched, col in batches:
+            error, grad = gradient(bias, theta[touched], labels[own], sizes, col)
+            g, old = grad[:, 0], squares[touched]
+            now = old + g * g
+            total = pulled[touched] + g - (np.sqrt(now) - np.sqrt(old)) / RATE * theta[touched, 0]
+            pulled[touched], squares[touched] = total, now
+            theta[touched, 0] = -np.sign(total) * np.maximum(np.abs(total) - least_pull * (epoch + 1), 0) / ((1 + np.sqrt(now)) / RATE)
+            if epoch >= WEIGHTS_FIRST:
+                g = grad[:, 1:] / len(own)
+                g *= min(1.0, LARGEST_STEP / max(1e-12, np.sqrt((g * g).sum())))
+                speed[touched] = 0.9 * speed[touched] - FACTOR_RATE * (g + DECAY * theta[touched, 1:])
+                theta[touched, 1:] += speed[touched]
+            bias -= error.mean()
+    logits = np.empty(n)
+    for own, sizes, touched, col in batches:
+        logits[own] = bias + raw_logits(theta[touched], sizes, col)[0]
+    # What training left alone says nothing: no weight, and factors of the size they began with.
+    used = (theta[:, 0] != 0) | (np.abs(theta[:, 1:]).max(axis=1) > 10 * START)
+    return Machine(float(bias - cut(logits, labels, share)), bucket[used], theta[used, 0].copy(), theta[used, 1:].copy())
+
+
+def cut(logits: np.ndarray, labels: np.ndarray, share: float) -> float:
+    """Where positive and negative texts part with the least error, classes weighted by their shares among all labels: the
+    middle of the widest gap of that error."""
+    order = np.argsort(logits, kind="stable")
+    x, y = logits[order], labels[order]
+    positive = y.sum()
+    below = np.concatenate(([0.0], np.cumsum(y))) / positive * share  # positives under the cut
+    above = np.concatenate((np.cumsum((1 - y)[::-1])[::-1], [0.0])) / (len(y) - positive) * (1 - share)
+    ends = np.concatenate(([x[0] - 1], x, [x[-1] + 1]))
+    gap = np.diff(ends)
+    error = np.where(gap > 0, below + above, np.inf)
+    best = np.flatnonzero(error <= error.min() + 1e-12)
+    k = best[np.argmax(gap[best])]
+    return float((ends[k] + ends[k + 1]) / 2)
+
+
+def _kept(row: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Places in ``bucket`` of a text's buckets, as far as they are there."""
+    at = np.minimum(np.searchsorted(bucket, row), len(bucket) - 1)
+    return at[bucket[at] == row]
+
+
+def raw_logits(theta: np.ndarray, sizes: np.ndarray, col: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logit without bias of each text of a batch, and the sums of its terms' rows of ``theta`` (a weight and the factors).
+
+    The texts' terms are rows ``col`` of ``theta``, ``sizes`` of them for each text in turn.
+    """
+    some = np.flatnonzero(sizes)
+    total, squares = np.zeros((len(sizes), theta.shape[1])), np.zeros(len(sizes))
+    if len(some):
+        starts = (np.cumsum(sizes) - sizes)[some]
+        terms = theta[col]
+        total[some] = np.add.reduceat(terms, starts, axis=0)
+        squares[some] = np.add.reduceat((terms[:, 1:] ** 2).sum(axis=1), starts)
+    return total[:, 0] + 0.5 * ((total[:, 1:] ** 2).sum(axis=1) - squares), total
+
+
+def gradient(bias: float, theta: np.ndarray, truth: np.ndarray, sizes: np.ndarray, col: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Error of each text of a batch, and the gradient of the logistic loss by ``theta``.
+
+    For the factors, a text of more than ``SHORT`` terms counts less by its number of terms: it holds so many pairs.
+    """
+    logit, total = raw_logits(theta, sizes, col)
+    error = 1 / (1 + np.exp(-np.clip(bias + logit, -30, 30))) - truth
+    part = error * np.minimum(1, SHORT / np.maximum(sizes, 1))
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    pulls = np.concatenate([error[:, None], total[:, 1:] * part[:, None]], axis=1)
+    count = len(theta)
+    grad = np.stack([np.bincount(col, pulls[own, f], count) for f in range(theta.shape[1])], axis=1)
+    grad[:, 1:] -= np.bincount(col, part[own], count)[:, None] * theta[:, 1:]
+    return error, grad
 
 
 def train(docs: DataFrame, labels: DataFrame, is_training: Column, label_col: str = "toxic", per_class: int = PER_CLASS) -> Machine:
@@ -166,7 +222,7 @@ def train(docs: DataFrame, labels: DataFrame, is_training: Column, label_col: st
         for batch in batches:
             gathered += zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
         gathered.sort()
-        buckets = [np.frombuffer(b, "<i4").astype(np.int64) for _, b, _ in gathered]
+        buckets = [np.frombuffer(b, "<i4") for _, b, _ in gathered]
         machine = fit(buckets, np.array([k for *_, k in gathered], float), share)
         arrays = [machine.bucket.astype("<i8"), machine.weight.astype("<f8"), machine.factors.astype("<f8")]
         yield pa.record_batch(
