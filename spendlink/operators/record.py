@@ -42,5 +42,11 @@ def record_id_by_text(records: DataFrame, text: str) -> DataFrame:
 
 
 def fetch_by_id(matches: DataFrame, records: DataFrame) -> DataFrame:
-    """Left join on ``id``: only winners carry the wide record; a winner without a record keeps its score."""
-    return matches.join(records, "id", "left")
+    """Left join on ``id``: only winners carry the wide record; a winner without a record keeps its score.
+
+    Of repeated ids the least record counts, so a match never multiplies. Matches without an id go around the join.
+    """
+    wide = [c for c in records.columns if c != "id"]
+    one = records.filter("id IS NOT NULL").groupBy("id").agg(F.min(F.struct(*wide)).alias("r")).select("id", "r.*")
+    found = matches.filter("id IS NOT NULL").join(one, "id", "left")
+    return found.unionByName(matches.filter("id IS NULL"), allowMissingColumns=True)

@@ -53,8 +53,10 @@ def enrich(
 ) -> DataFrame:
     """All enrichment steps. ``classify`` turns the classifier request into predictions ``(pim_key, first)``.
 
-    The prepared items feed the ids, the request, the product lookup and the result, so they are written out once.
+    The prepared items feed the ids, the request, the product lookup and the result, so they are written out once. The items are
+    written before: duplicates are found in one read of them and marked in another, which must number rows alike.
     """
+    items = materialize(items, "items")
     numbered = with_surrogate_id(materialize(prepare(items, aliases, keywords), "prepared"))
     predictions = classify(classifier_request(numbered))
     return attach_products(attach_class_code(numbered, predictions), human, animal)

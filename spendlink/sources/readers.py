@@ -5,11 +5,12 @@ CSV keeps item numbers as text, so leading zeros survive until cleaning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendlink.schema import CHECKPOINT, ITEM_COLUMNS, ITEM_SHEET, PREDICTIONS
+from spendlink.sources.records import header_names, parsed, read_records
 
 
 def _by_position(df: DataFrame, names: list[str]) -> DataFrame:
@@ -24,16 +25,29 @@ def _positional_csv(spark: SparkSession, path, names: list[str], header: bool, *
 def read_items(spark: SparkSession, path, fmt: str = "csv", **options) -> DataFrame:
     """All files of a folder (or a list of paths): three columns by position, header skipped, null as blank.
 
-    Adds ``source_file`` and ``row_id``. A file Spark cannot read fails the scan; none is read twice. Quoted line breaks
-    are kept, which makes a CSV file one task; pass ``multiLine=False`` for large files without them, or use Parquet.
+    Adds ``source_file`` and ``row_id``, the row's number in the order of files and rows. A file Spark cannot read fails the scan; none is read
+    twice. CSV is split into many tasks also where quoted fields have line breaks. With reader options (another separator, say) Spark's
+    own reader takes over, one task per file unless they have ``multiLine=False``; there, and for formats without
+    row positions, ``row_id`` follows the scan, so write the items before they are used twice.
     """
+    if fmt == "csv" and not options:
+        records = read_records(spark, path, header=True)
+        items = records.select(parsed(F.col("record"), ITEM_COLUMNS).alias("r"), "source_file", F.col("place").alias("row_id"))
+        return items.select("r.*", "source_file", "row_id").fillna("", subset=ITEM_COLUMNS).select(*ITEM_COLUMNS, "source_file", "row_id")
     if fmt == "csv":
         raw = spark.read.schema(ITEM_SHEET).options(**{"header": True, "multiLine": True, "escape": '"', **options}).csv(path)
     else:
         raw = spark.read.format(fmt).options(**options).load(path)
     source = F.col("_metadata.file_path").alias("source_file")
-    named = raw.select(*raw.columns[:3], source).toDF(*ITEM_COLUMNS, "source_file")
-    return named.fillna("", subset=ITEM_COLUMNS).withColumn("row_id", F.monotonically_increasing_id())
+    if fmt != "parquet":
+        named = raw.select(*raw.columns[:3], source, F.monotonically_increasing_id()).toDF(*ITEM_COLUMNS, "source_file", "row_id")
+        return named.fillna("", subset=ITEM_COLUMNS)
+    named = raw.select(*raw.columns[:3], source, "_metadata.row_index").toDF(*ITEM_COLUMNS, "source_file", "row_index")
+    sizes = named.groupBy("source_file").agg((F.max("row_index") + 1).alias("n"))  # a row per file
+    before = Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("source_file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    numbered = named.join(starts, "source_file").withColumn("row_id", F.col("start") + F.col("row_index"))
+    return numbered.fillna("", subset=ITEM_COLUMNS).select(*ITEM_COLUMNS, "source_file", "row_id")
 
 
 def _file_order() -> Column:
@@ -94,15 +108,21 @@ PRIORITY_COLUMNS = {
 PRIORITY_WIDTH = 9
 
 
-def priority_list(sheet: DataFrame) -> DataFrame:
+def priority_list(sheet: DataFrame, row_no: Column | None = None) -> DataFrame:
     """The three text columns among the first nine, with a row number."""
-    first = sheet.select(*(F.col(f"`{c}`") for c in sheet.columns[:PRIORITY_WIDTH]))
+    names = [c for c in PRIORITY_COLUMNS if c in sheet.columns[:PRIORITY_WIDTH]]
+    if len(names) < len(PRIORITY_COLUMNS):
+        raise ValueError(f"the first {PRIORITY_WIDTH} columns must have {', '.join(PRIORITY_COLUMNS)}")
     used = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(name) for c, name in PRIORITY_COLUMNS.items()]
-    return first.select(*used, F.monotonically_increasing_id().alias("row_no"))
+    return sheet.select(*used, (F.monotonically_increasing_id() if row_no is None else row_no).alias("row_no"))
 
 
 def read_priority_list(spark: SparkSession, path) -> DataFrame:
-    return priority_list(spark.read.options(header=True, multiLine=True, escape='"').csv(path))
+    """Rows are numbered in file order, so the first original of a clean description is the same at every read."""
+    names = header_names(spark, path)
+    records = read_records(spark, path, header=True)
+    rows = records.select(parsed(F.col("record"), names[:PRIORITY_WIDTH]).alias("r"), "place").select("r.*", "place")
+    return priority_list(rows, F.col("place"))
 
 
 def read_predictions(spark: SparkSession, path, header: bool = True) -> DataFrame:
