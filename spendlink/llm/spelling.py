@@ -220,32 +220,48 @@ def parted(all_ways: DataFrame) -> DataFrame:
     ))
 
 
-def _onward(edges: str, condition: str, pos: str) -> str:
-    """SQL: states behind those of ``edges`` that meet ``condition``, as far as the next letter, or the end, goes on from there."""
-    goes_on = f"if({pos} = length(letters), e.ends, {has_letter('e.low', 'e.high', f'substring(letters, {pos} + 1, 1)')})"
-    return f"transform(filter({edges}, e -> {condition} AND {goes_on}), e -> struct({pos} AS pos, e.child AS node, e.salts AS salts))"
+def _goes_on(pos: str) -> str:
+    return f"if({pos} = length(letters), e.ends, {has_letter('e.low', 'e.high', f'substring(letters, {pos} + 1, 1)')})"
+
+
+def _onward(condition: str, pos: str) -> str:
+    """SQL: states behind those of the node's edges that meet ``condition``."""
+    return f"transform(filter(edges, e -> {condition}), e -> struct({pos} AS pos, e.child AS node, e.salts AS salts))"
 
 
 def _meet(states: DataFrame, edges: DataFrame, *outcomes: str) -> DataFrame:
-    here = states.select(
-        "id", "side", "letters", "pos", "node", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("salt"), F.expr("substring(letters, pos + 1)").alias("rest")
-    )
-    return here.join(edges, ["node", "salt"]).select("id", "side", "letters", F.expr(f"inline(concat({', '.join(outcomes)}))"))
+    rest = F.expr("substring(letters, pos + 1)").alias("rest")
+    here = states.select("id", "side", "letters", "pos", "node", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("salt"), rest)
+    met = here.join(edges, ["node", "salt"])
+    for k in (0, 1):  # sets of the next letter and the one after it, or of the end
+        letter = f"substring(letters, pos + {k + 1}, 1)"
+        place = f"(ascii({letter}) - if(ascii({letter}) < 128, 97, {0xC0 - 26}))"
+        met = met.withColumns({
+            f"low{k}": F.expr(f"if({letter} = '', {1 << HALF}L, if({place} < {HALF}, shiftleft(1L, {place}), 0L))"),
+            f"high{k}": F.expr(f"if({letter} = '' OR {place} < {HALF}, 0L, shiftleft(1L, {place} - {HALF}))"),
+        })
+    met = met.withColumn("own", F.expr("substring(rest, 1, 1)"))
+    return met.select("id", "side", "letters", F.expr(f"inline(concat({', '.join(outcomes)}))"))
 
 
 def one_edit(states: DataFrame, edges: DataFrame) -> DataFrame:
     """States without an edit part from their words: the label's first letter, which isn't the word's next, is put in, or put in its
-    place if it is the greater of the two. (The other way round, the neighbour finds the word.) The rest of the label must agree."""
-    replaced = "rest <> '' AND e.label > rest AND substring(rest, 2, length(e.label) - 1) = substring(e.label, 2) AND NOT startswith(rest, substring(e.label, 1, 1))"
-    put_in = "substring(rest, 1, length(e.label) - 1) = substring(e.label, 2) AND NOT startswith(rest, substring(e.label, 1, 1))"
-    return _meet(
-        states, edges, _onward("edges", replaced, "(pos + length(e.label))"), _onward("edges", put_in, "(pos + length(e.label) - 1)")
-    )
+    place if it is the greater of the two. (The other way round, the neighbour finds the word.) The rest of the label must agree.
+    States stay only where the next letter, or the end, goes on. Most labels are one letter, and need no more than a look at the sets.
+    """
+    far, near = "(pos + length(e.label))", "(pos + length(e.label) - 1)"
+    tail = "substring(e.label, 2) AND NOT startswith(e.label, own)"
+    replaced = f"""own <> '' AND e.label > rest AND if(length(e.label) = 1, e.label <> own AND ((e.low & low1) | (e.high & high1)) <> 0,
+        substring(rest, 2, length(e.label) - 1) = {tail} AND {_goes_on(far)})"""
+    put_in = f"""if(length(e.label) = 1, e.label <> own AND ((e.low & low0) | (e.high & high0)) <> 0,
+        own <> '' AND substring(rest, 1, length(e.label) - 1) = {tail} AND {_goes_on(near)})"""
+    return _meet(states, edges, _onward(replaced, far), _onward(put_in, near))
 
 
 def followed(states: DataFrame, edges: DataFrame) -> DataFrame:
     """States with an edit follow the edge that agrees with the word."""
-    return _meet(states, edges, _onward("edges", "startswith(rest, e.label)", "(pos + length(e.label))"))
+    pos = "(pos + length(e.label))"
+    return _meet(states, edges, _onward(f"startswith(rest, e.label) AND {_goes_on(pos)}", pos))
 
 
 def neighbours(words: DataFrame) -> tuple[DataFrame, DataFrame]:
