@@ -16,7 +16,7 @@ from spendlink.functions import clean, concepts, normalize, similarity, tags
 from spendlink.operators import dedup, keywords, lookup, match, priority, products, record
 from spendlink.plans import enrich, price, run
 from spendlink.plans.price import Settings
-from spendlink.sources import readers, sinks
+from spendlink.sources import readers, records, sinks
 from spendlink.sources.shared import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,50 @@ def _(t):
     return readers.priority_list(t.priority_sheet.drop("p_partkey")).drop("row_no")
 
 
+# The same sheets written as files from whole texts, with quotes, commas and line breaks, and read by the real readers. Rows are
+# written in the order of their ids, so the order in the files decides which row wins.
+def sheet_file(t: Inputs, name: str, columns: list[str], header: bool = True) -> str:
+    path = t.scratch(name)
+    rows = t.documents.orderBy("doc_id").selectExpr(*columns)
+    sinks.write(rows, path, "csv") if header else rows.write.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return path
+
+
+@query(
+    "s02_alias_map_file",
+    """SELECT alias, arg_max('maker ' || (doc_id % 13), doc_id * 4 + pos) AS canonical FROM (
+         SELECT doc_id, unnest(aliases) AS alias, generate_subscripts(aliases, 1) AS pos FROM (
+           SELECT doc_id, list_slice([text, left(text, 20), source], 1, doc_id % 4) AS aliases FROM documents))
+       WHERE alias <> '' GROUP BY alias""",
+)
+def _(t):
+    sheet = ["'maker ' || (doc_id % 13) AS canonical", "doc_id % 4 AS n", "text AS a1", "left(text, 20) AS a2", "source AS a3"]
+    return readers.read_alias_map(t.spark, sheet_file(t, "aliases", sheet))
+
+
+@query(
+    "s03_keyword_map_file",
+    """SELECT keyword, arg_max(full_name, doc_id) AS full_name FROM (
+         SELECT doc_id, lower(nullif(left(text, 12), '')) AS keyword, lower(nullif(text, '')) AS full_name FROM documents) GROUP BY keyword""",
+)
+def _(t):
+    sheet = ["left(text, 12) AS keyword", "text AS full_name"]
+    return readers.read_keyword_map(t.spark, sheet_file(t, "keywords", sheet, header=False))
+
+
+@query(
+    "s04_priority_list_file",
+    """SELECT coalesce(text, '') AS item_description, coalesce(left(text, 30), '') AS clean_description,
+         coalesce(lang || ', "' || source || '"', '') AS processed_clean_desc, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM documents""",
+)
+def _(t):
+    sheet = [
+        "doc_id AS no", "text AS `Item Description`", "left(text, 30) AS `Clean Description`", "1 AS a", "text AS `say ""b"", c`",
+        """lang || ', "' || source || '"' AS `processed clean desc`""", "2 AS d", "3 AS e", "4 AS f", "text AS tenth",
+    ]
+    return readers.read_priority_list(t.spark, sheet_file(t, "priority", sheet))
+
+
 CHECKPOINT_SQL = (
     "SELECT key, item_description, item_number, manufacturer, canonical_manufacturer, drug_name, tag,"
     " CAST(is_duplicate AS INT) AS is_duplicate, pim, class_code, CAST(row_id AS VARCHAR) AS ndc FROM numbered"
@@ -149,6 +193,15 @@ def _(t):
     return sinks.classifier_request(dedup.with_surrogate_id(prepared(t)))
 
 
+@query("s10_classifier_request_file", REQUEST_SQL)
+def _(t):
+    path = t.scratch("classifier_request")
+    sinks.write_classifier_request(sinks.classifier_request(dedup.with_surrogate_id(prepared(t))), path)
+    names = ["PIM_KEY", "COMPANY_NAME", "PART_NUMBER", "PRODUCT_DESCRIPTION", "UNSPSC"]
+    rows = records.read_records(t.spark, path, header=True).select(records.parsed(F.col("record"), names).alias("r"))
+    return rows.selectExpr("CAST(r.PIM_KEY AS BIGINT) AS PIM_KEY", *(f"coalesce(r.{n}, '') AS {n}" for n in names[1:]))
+
+
 # --- Projections and scalar functions --------------------------------------------------------------------------
 
 
@@ -778,6 +831,23 @@ def _(t):
     return hits.selectExpr("clean_description", text_of("keywords"))
 
 
+# Whole texts as a priority list; every document is a row.
+LISTED_TEXTS = ["text AS item_description", "coalesce(left(text, 8), '') AS clean_description", "coalesce(source, '') AS processed_clean_desc", "doc_id AS row_no"]
+
+
+@query("a05_distinct_entries_of_texts", "SELECT DISTINCT coalesce(source, '') AS clean FROM documents")
+def _(t):
+    return priority.priority_entries(t.documents.selectExpr(*LISTED_TEXTS), "FAST_FUZZY").select("clean")
+
+
+@query(
+    "j15_first_original_description_of_texts",
+    "SELECT coalesce(left(text, 8), '') AS clean, min(doc_id) AS cand_id, arg_min(text, doc_id) AS priority_desc FROM documents GROUP BY 1",
+)
+def _(t):
+    return priority.priority_entries(t.documents.selectExpr(*LISTED_TEXTS), "FUZZY")
+
+
 @query("a05_distinct_entries", "SELECT DISTINCT processed_clean_desc AS clean FROM priority")
 def _(t):
     return priority.priority_entries(t.priority, "FAST_FUZZY").select("clean")

@@ -50,21 +50,16 @@ def read_items(spark: SparkSession, path, fmt: str = "csv", **options) -> DataFr
     return numbered.fillna("", subset=ITEM_COLUMNS).select(*ITEM_COLUMNS, "source_file", "row_id")
 
 
-def _file_order() -> Column:
-    """Orders rows just read by file, part of a file and place in it; Spark may read files in another order."""
-    return F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place"))
-
-
 def alias_pairs(sheet: DataFrame, order: Column | None = None) -> DataFrame:
     """Wide alias sheet to ``(alias, canonical)``.
 
     First column canonical name, second the number n of aliases, then n aliases; later rows (by ``order``) and columns win.
     """
-    canonical, count, *aliases = sheet.columns
+    canonical, count, *aliases = (c for c in sheet.columns if c != "place")
     listed = sheet.select(
         F.col(canonical).alias("canonical"),
         (F.monotonically_increasing_id() if order is None else order).alias("row_no"),
-        F.slice(F.array(*aliases), F.lit(1), F.greatest(F.col(count).cast("int"), F.lit(0))).alias("aliases"),
+        F.slice(F.array(*aliases), F.lit(1), F.greatest(F.col(count).try_cast("int"), F.lit(0))).alias("aliases"),
     )
     pairs = listed.select("canonical", "row_no", F.posexplode("aliases").alias("pos", "alias"))
     return (
@@ -76,11 +71,12 @@ def alias_pairs(sheet: DataFrame, order: Column | None = None) -> DataFrame:
 
 def read_alias_map(spark: SparkSession, path) -> DataFrame:
     """The sheet is ragged: the largest alias count, not the header, says how many columns are read."""
-    options = {"header": True, "multiLine": True, "escape": '"'}
-    counts = _positional_csv(spark, path, ["canonical", "n"], **options)
-    widest = counts.agg(F.max(F.expr("try_cast(n AS INT)"))).first()[0] or 0
+    records = read_records(spark, path, header=True)
+    counts = records.select(parsed(F.col("record"), ["canonical", "n"]).alias("r"))
+    widest = counts.agg(F.max(F.expr("try_cast(r.n AS INT)"))).first()[0] or 0
     names = ["canonical", "n", *(f"alias_{i}" for i in range(max(1, widest)))]
-    return alias_pairs(_positional_csv(spark, path, names, **options), _file_order())
+    sheet = records.select(parsed(F.col("record"), names).alias("r"), "place").select("r.*", "place")
+    return alias_pairs(sheet, F.col("place"))
 
 
 def keyword_pairs(sheet: DataFrame, order: Column | None = None) -> DataFrame:
@@ -95,8 +91,9 @@ def keyword_pairs(sheet: DataFrame, order: Column | None = None) -> DataFrame:
 
 
 def read_keyword_map(spark: SparkSession, path) -> DataFrame:
-    sheet = _positional_csv(spark, path, ["keyword", "full_name"], header=False, multiLine=True, escape='"')
-    return keyword_pairs(sheet, _file_order())
+    records = read_records(spark, path, header=False)
+    sheet = records.select(parsed(F.col("record"), ["keyword", "full_name"]).alias("r"), "place").select("r.*", "place")
+    return keyword_pairs(sheet, F.col("place"))
 
 
 # Headers of the priority sheet that are used.
@@ -127,8 +124,8 @@ def read_priority_list(spark: SparkSession, path) -> DataFrame:
 
 def read_predictions(spark: SparkSession, path, header: bool = True) -> DataFrame:
     """Quotes are doubled inside quoted fields and line breaks are kept; a row of another width fails the read."""
-    options = {"header": header, "enforceSchema": True, "multiLine": True, "escape": '"', "mode": "FAILFAST"}
-    return spark.read.schema(PREDICTIONS).options(**options).csv(path)
+    records = read_records(spark, path, header)
+    return records.select(parsed(F.col("record"), PREDICTIONS, mode="FAILFAST").alias("r")).select("r.*")
 
 
 def read_checkpoint(spark: SparkSession, path, fmt: str = "parquet") -> DataFrame:

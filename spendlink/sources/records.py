@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WHOLE, OPEN, REST = 0, 1, 2
 _FROM_CSV = {"quote": '"', "escape": '"', "multiLine": "true", "lineSep": "\n"}
@@ -89,26 +90,27 @@ def splits(lines: DataFrame) -> DataFrame:
     return lines.mapInArrow(run, "file string, start bigint, ends boolean, quoted_ends boolean, records bigint, quoted_records bigint")
 
 
-def beginnings(rows: list, header: bool) -> dict[tuple[str, int], tuple[bool, int]]:
-    """How each split starts, and the number of its first record; headers have no number."""
-    out, number, file, quoted = {}, 0, None, False
+def beginnings(rows: list, header: bool) -> dict[tuple[str, int], tuple[bool, int, bool]]:
+    """How each split starts, the number of its first record, and whether that is a file's header, which has no number."""
+    out, number, file, quoted, wanted = {}, 0, None, False, False
     for r in sorted(rows, key=lambda r: (r.file, r.start)):
         if r.file != file:
-            file, quoted = r.file, False
-            number -= header
-        out[r.file, r.start] = (quoted, number)
-        number += r.quoted_records if quoted else r.records
+            file, quoted, wanted = r.file, False, header
+        count = r.quoted_records if quoted else r.records
+        out[r.file, r.start] = (quoted, number, wanted and count > 0)
+        number += count - (wanted and count > 0)
+        wanted = wanted and not count
         quoted = r.quoted_ends if quoted else r.ends
     return out
 
 
-def pieces(lines: DataFrame, known: dict[tuple[str, int], tuple[bool, int]]) -> DataFrame:
+def pieces(lines: DataFrame, known: dict[tuple[str, int], tuple[bool, int, bool]]) -> DataFrame:
     """(file, start, kind, place, text): whole records, the beginning of one that goes on in the next split (``OPEN``), and what a
-    split has of a record begun before it (``REST``)."""
+    split has of a record begun before it (``REST``). Headers are left out; one that goes on has a null place."""
     shared = lines.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
-        held, quoted, place, rows, kind, parts = None, False, 0, [], WHOLE, []
+        held, quoted, place, rows, kind, parts, header = None, False, 0, [], WHOLE, [], False
 
         def batch():
             nonlocal rows
@@ -118,10 +120,13 @@ def pieces(lines: DataFrame, known: dict[tuple[str, int], tuple[bool, int]]) ->
             return made
 
         def close(now):
-            nonlocal parts, place
+            nonlocal parts, place, header
             text = "\n".join(parts)
-            rows.append((*held, now, place, text.removesuffix("\r") if now != OPEN else text))
-            place += now != REST
+            named = header and now != REST
+            if not named or now == OPEN:
+                rows.append((*held, now, None if named else place, text.removesuffix("\r") if now != OPEN else text))
+            place += now != REST and not named
+            header = header and not named
             parts = []
 
         for split, line in _by_split(batches):
@@ -131,7 +136,7 @@ def pieces(lines: DataFrame, known: dict[tuple[str, int], tuple[bool, int]]) ->
                 held = split
                 if split not in shared.value:
                     raise RuntimeError(f"{split[0]} was split otherwise before, now at {split[1]}: fix spark.sql.files.minPartitionNum")
-                quoted, place = shared.value[split]
+                quoted, place, header = shared.value[split]
                 kind = REST if quoted else WHOLE
             if not quoted and line in ("", "\r"):
                 continue
@@ -164,17 +169,16 @@ def read_records(spark: SparkSession, path, header: bool) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("start", (-F.col("kind")).alias("k"), "text"))).alias("parts"),
     )
     text = F.regexp_replace(F.array_join(F.transform("parts", lambda p: p["text"]), "\n"), "\r$", "")
-    records = whole.unionByName(joined.select("file", "place", text.alias("text")))
-    if header:  # the first record of a file is in its first split
-        first = records.groupBy("file").agg(F.min("place").alias("place"))
-        records = records.join(first, ["file", "place"], "left_anti")
+    records = whole.unionByName(joined.filter("place IS NOT NULL").select("file", "place", text.alias("text")))
     return records.select(F.col("file").alias("source_file"), "place", F.col("text").alias("record"))
 
 
-def parsed(record: Column, names: list[str]) -> Column:
-    """A struct of text columns by position; missing fields are null, further ones are left out."""
-    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
-    return F.from_csv(record, schema, _FROM_CSV)
+def parsed(record: Column, fields: list[str] | T.StructType, mode: str = "PERMISSIVE") -> Column:
+    """A struct by position, of text columns if only names are given; missing fields are null, further ones are left out, unless
+    ``mode`` is FAILFAST."""
+    kinds = [(n, "string") for n in fields] if isinstance(fields, list) else [(f.name, f.dataType.simpleString()) for f in fields]
+    schema = ", ".join(f"`{n.replace('`', '``')}` {kind}" for n, kind in kinds)
+    return F.from_csv(record, schema, {**_FROM_CSV, "mode": mode})
 
 
 def header_names(spark: SparkSession, path) -> list[str]:

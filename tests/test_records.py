@@ -61,6 +61,8 @@ def test_record_over_many_splits(spark, tmp_path, small_splits):
     path = str(tmp_path / "in")
     want = expected(spark, path, True)
     assert found(spark, path, True) == want and [w[0] for w in want] == ["1", "2", "3", "4"]
+    write(tmp_path / "head" / "a.csv", [f'"{field}",h,h', "1,b,c", "2,b,c"])
+    assert [r[0] for r in found(spark, str(tmp_path / "head"), True)] == ["1", "2"]
     write(tmp_path / "open" / "a.csv", ["h,h,h", "1,b,c", '2,"never', "closed", "here"])
     assert [r[0] for r in found(spark, str(tmp_path / "open"), True)] == ["1", "2"]
 
