@@ -796,9 +796,20 @@ def _(t):
     return t.table("customer").select("c_custkey", similarity.similarity(F.col("c_name"), segment, 2).alias("score"))
 
 
-@query("m03_lcs_ratio_long_texts")
+@query(
+    "m03_lcs_ratio_long_texts",
+    Query(
+        "SELECT a AS text, cand_id, score, CAST(1 AS INTEGER) AS rank FROM (SELECT a, cand_id, score, row_number() OVER (PARTITION BY a"
+        " ORDER BY score DESC, cand_id) AS place FROM met JOIN scored USING (a, b) WHERE score >= 60) WHERE place = 1",
+        turns=f"SELECT DISTINCT coalesce({q.fuzzy_form('text')}, '') AS a FROM conversations",
+        passages=f"SELECT coalesce({q.fuzzy_form('text')}, '') AS b, item_id AS cand_id FROM benchmark",
+        # Only lengths that can reach the cutoff.
+        met="SELECT a, b, cand_id FROM turns JOIN passages ON 200 * least(length(a), length(b)) >= 59 * (length(a) + length(b))",
+        **q.long_score_ctes("met", 0),
+    ),
+)
 def _(t):
-    """Whole conversation turns against whole benchmark passages, too long for the SQL recurrence."""
+    """Whole conversation turns against whole benchmark passages, longer than one machine word."""
     turns = t.table("conversations").select(normalize.fuzzy_form(F.col("text")).alias("text"))
     passages = t.table("benchmark").select(
         normalize.fuzzy_form(F.col("text")).alias("text"), F.col("item_id").alias("cand_id")

@@ -135,6 +135,37 @@ def score_ctes(pairs: str, digits: int) -> dict[str, str]:
     }
 
 
+LONG_WORD = 120
+
+
+def long_score_ctes(pairs: str, digits: int) -> dict[str, str]:
+    """Scores as above for texts of any length: the recurrence over lists of 128-bit words that hold ``LONG_WORD`` bits each, with the
+    carry of the sum handed from word to word."""
+    zero, one = "CAST(0 AS HUGEINT)", "CAST(1 AS HUGEINT)"
+    full = f"(({one} << {LONG_WORD}) - 1)"
+    words = f"range(0, greatest(1, (n + {LONG_WORD - 1}) // {LONG_WORD}))"
+    bit = f"CASE WHEN substr(b, CAST(p AS INTEGER) + 1, 1) = ch THEN {one} << CAST(p % {LONG_WORD} AS INTEGER) ELSE {zero} END"
+    in_word = f"list_transform(range({LONG_WORD} * w, least(n, {LONG_WORD} * (w + 1))), lambda p: {bit})"
+    mask = f"list_transform({words}, lambda w: list_reduce(list_prepend({zero}, {in_word}), lambda x, y: x | y))"
+    total = "(x[1] + (x[1] & x[2]) + acc[1])"
+    added = f"list_prepend({total} >> {LONG_WORD}, list_append(acc[2:], ({total} & {full}) | (x[1] - (x[1] & x[2]))))"
+    both = "list_transform(range(1, len(v) + 1), lambda i: [v[i], m[i]])"
+    step = f"list_reduce(list_prepend([{zero}], {both}), lambda acc, x: {added})[2:]"
+    states = "list_prepend(full_words, list_transform(string_split(a, ''), lambda ch: coalesce(masks[ch], none)))"
+    kept = f"(({one} << CAST(least({LONG_WORD}, n - {LONG_WORD} * w) AS INTEGER)) - 1)"
+    left = f"list_sum(list_transform({words}, lambda w: CAST(bit_count(folded[w + 1] & {kept}) AS BIGINT)))"
+    return {
+        "text_pairs": f"SELECT DISTINCT a, b FROM {pairs}",
+        "patterns": f"SELECT b, n, list_transform({words}, lambda w: {full}) AS full_words, list_transform({words}, lambda w: {zero}) AS none,"
+        f" map_from_entries(list_transform(list_distinct(string_split(b, '')), lambda ch: struct_pack(k := ch, v := {mask}))) AS masks"
+        " FROM (SELECT DISTINCT b, length(b) AS n FROM text_pairs)",
+        "folds": f"SELECT a, b, n, length(a) AS m, list_reduce({states}, lambda v, m: {step}) AS folded FROM text_pairs JOIN patterns USING (b)",
+        "scored": "SELECT a, b, lcs, n + m AS total, CASE WHEN n + m = 0 THEN CAST(100 AS DOUBLE) ELSE"
+        f" round_even(CAST(100 AS DOUBLE) * (CAST(2 AS DOUBLE) * lcs / (n + m)), {digits}) END AS score"
+        f" FROM (SELECT a, b, n, m, CASE WHEN n = 0 OR m = 0 THEN 0 ELSE n - {left} END AS lcs FROM folds)",
+    }
+
+
 def best_ctes(items: str, candidates: str, cutoff: float, digits: int, k: int) -> dict[str, str]:
     """``best(block, text, cand_id, score, rank)`` for relations ``(block, text)`` and ``(block, text, cand_id)``."""
     return {
