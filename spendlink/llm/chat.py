@@ -145,16 +145,18 @@ def log_of_turns(turns: DataFrame, piece: int = PIECE) -> DataFrame:
         F.col("conv_id").cast("bigint").alias("conv_id"), "turn", "role", text.alias("text"),
         F.xxhash64(text).alias("__hash"), F.monotonically_increasing_id().alias("message"),
     )
-    at = F.explode(F.sequence(F.lit(-1), F.floor((F.length("text") - 1) / piece).cast("int")))
-    rows = rows.withColumn("at", at)
-    start = F.col("at") < 0
+    # One pass over the text cuts it; no piece is looked up from the text's beginning.
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{piece}}}"), F.lit(0))
+    events = F.posexplode(F.concat(F.array(F.lit("")), pieces)).alias("at", "piece")
+    rows = rows.select("conv_id", "turn", "role", "__hash", "message", events)
+    start = F.col("at") == 0
     return rows.select(
         "conv_id",
         F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.col("__hash").alias("hash"), "message", "at").alias("seq"),
         "message",
         F.when(start, "start").otherwise("delta").alias("kind"),
         F.when(start, F.col("role")).alias("role"),
-        F.when(start, "").otherwise(F.substring("text", F.col("at") * piece + 1, F.lit(piece))).alias("text"),
+        F.col("piece").alias("text"),
     )
 
 

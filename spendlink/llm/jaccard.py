@@ -255,8 +255,11 @@ def exact_links(members: DataFrame) -> DataFrame:
     return per_meeting(members.select(*columns), "group", work, "node binary, links bigint, root binary")
 
 
-def row_key(id_col: str, text_col: str):
-    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("~")), F.lit("|"), F.coalesce(F.col(text_col), F.lit(""))))
+def row_key(id_col: str, text_col: str) -> Column:
+    """A digest of id and text; the id's length says where it ends, so no two pairs read alike."""
+    row_id = F.col(id_col).cast("string")
+    named = F.when(row_id.isNull(), "-").otherwise(F.concat(F.length(row_id).cast("string"), F.lit(":"), row_id))
+    return F.md5(F.concat(named, F.lit("|"), F.coalesce(F.col(text_col), F.lit(""))))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:

@@ -54,9 +54,12 @@ def scan(text: str) -> list[tuple[int, int, int, str]]:
     found = [(m.start(), 0, m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [(m.start(), 1, m.end(), m[0]) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end(), m[0]) for m in HEX.finditer(text)]
-    base = list(found)
-    for m in OPAQUE.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, _, e, _ in base) and _looks_random(m[0]):
+    base, at, reach = sorted((s, e) for s, _, e, _ in found), 0, 0
+    for m in OPAQUE.finditer(text):  # both lists go by start: one walk through either
+        while at < len(base) and base[at][0] < m.end():
+            reach = max(reach, base[at][1])
+            at += 1
+        if reach <= m.start() and _looks_random(m[0]):
             found.append((m.start(), 3, m.end(), m[0]))
     return sorted(found)
 

@@ -53,6 +53,16 @@ def test_round_trip_of_odd_rows(spark):
     assert len(out) == 6 and all(r.formatted_chars > 0 for r in out)
 
 
+def test_very_long_turn(spark):
+    """Linear in the text: seconds, not minutes."""
+    text = "a\U0001f600\n### </turn>\\" * 500_000
+    turns = [(1, 0, "user", text), (1, 1, "assistant", text[: 3 * chat.PIECE]), (1, 2, "user", "z" * chat.PIECE)]
+    df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    assert chat.log_of_turns(df).count() == 3 + -(-len(text) // chat.PIECE) + 3 + 1
+    out = chat.digests(chat.render(chat.fold(chat.log_of_turns(df)))).collect()
+    assert {r.conv_id: tuple(r[1:5]) for r in out} == expected(turns)
+
+
 @given(st.text(alphabet="\\thc</turn>#: é\n", max_size=30))
 def test_unescape(text):
     escaped = text.replace("\\", "\\\\").replace("</turn>", "\\t").replace("### ", "\\h")

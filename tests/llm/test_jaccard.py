@@ -71,6 +71,17 @@ def test_brute_force(spark, monkeypatch):
     assert run(spark, rows) == expected(rows)
 
 
+def test_ids_that_are_texts(spark):
+    """Ids with separators in them do not run into their texts."""
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [("k1", base), ("c", base + " end"), ("k2|" + base, "t"), ("k2", base + "|t"), (None, "p|q"), ("-", "p|q"), ("1:x", "y"), ("x", "1:y")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    out = jaccard.near_duplicates(df).collect()
+    assert len({r.key for r in out}) == len(rows)
+    linked = {r.doc_id: r.n_links for r in out}
+    assert linked["k1"] == 2 and linked["k2|" + base] == 0
+
+
 def test_dense_intersections():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 9000, 6000).astype(np.uint64)) for _ in range(12)]
