@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from spendlink.operators.priority import match_priority
 from spendlink.plans.enrich import enrich
 from spendlink.plans.price import Settings, match_by_class_code, match_by_manufacturer, match_new_spend
-from spendlink.sources import readers, sinks
+from spendlink.sources import manifest, readers, sinks
 
 # Accepted arguments.
 MODES = ("UNSPSC_CODE", "MANUFACTURER", "NEW_SPEND_INFO")
@@ -57,6 +57,11 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def enrichment_files(self) -> list[str]:
+        """Files a checkpoint is made from; reference tables over JDBC are not among them."""
+        tables = [] if self.jdbc else ["product_package.parquet", "animal_product.parquet"]
+        return [self.path(n) for n in ("items", "alias_map.csv", "keyword_map.csv", "predictions.csv", *tables)]
+
     def table(self, name: str) -> DataFrame:
         if self.jdbc:
             return readers.read_table(self.spark, name, fmt="jdbc", **self.jdbc)
@@ -105,7 +110,12 @@ def verified_answer(spark: SparkSession, request: DataFrame, path: str, request_
 
 def enriched_items(spark: SparkSession, job: Job, inputs: Tables, checkpoint: str) -> DataFrame:
     if job.process == "PARTIAL":
-        return readers.read_checkpoint(spark, checkpoint)
+        try:
+            items = readers.read_checkpoint(spark, checkpoint)
+        except AnalysisException as error:
+            raise manifest.CheckpointUnverified(f"no checkpoint at {checkpoint}") from error
+        manifest.verify(spark, checkpoint, items)
+        return items
 
     def classify(request: DataFrame) -> DataFrame:
         # The classifier is an external program: one run writes the request, a later one finds the answer.
@@ -113,6 +123,7 @@ def enriched_items(spark: SparkSession, job: Job, inputs: Tables, checkpoint: st
         sinks.write_classifier_request(request, path)
         return verified_answer(spark, request, inputs.path("predictions.csv"), path)
 
+    used = manifest.fingerprint(spark, inputs.enrichment_files())
     items = enrich(
         readers.read_items(spark, inputs.path("items")),
         readers.read_alias_map(spark, inputs.path("alias_map.csv")),
@@ -121,7 +132,10 @@ def enriched_items(spark: SparkSession, job: Job, inputs: Tables, checkpoint: st
         inputs.table("product_package"),
         inputs.table("animal_product"),
     )
-    return sinks.write_checkpoint(items, checkpoint)
+    manifest.begin(spark, checkpoint)
+    written = sinks.write_checkpoint(items, checkpoint)
+    manifest.complete(spark, checkpoint, written, used)
+    return written
 
 
 def run(spark: SparkSession, job: Job, inputs: Tables, output: str, fmt: str = "parquet") -> str:

@@ -1,11 +1,15 @@
+import contextlib
 import csv
+import shutil
 
 import pytest
 
 from catalog.fixtures import Inputs
 from spendlink import Job, Tables, run
 from spendlink.plans.run import AnswerMissing, AnswerStale, enriched_items
-from spendlink.sources import readers, sinks
+from spendlink.sources import manifest, readers, sinks
+from spendlink.sources.manifest import CheckpointUnverified
+from spendlink.sources.shared import materialize
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -149,3 +153,33 @@ def test_checkpoint_round_trip(spark, data, tmp_path):
     columnar = sorted(map(tuple, items.collect()), key=str)
     sinks.write_checkpoint(items, str(tmp_path / "csv"), "csv")
     assert sorted(map(tuple, readers.read_checkpoint(spark, str(tmp_path / "csv"), "csv").collect()), key=str) == columnar
+
+
+def test_partial_needs_a_whole_checkpoint(spark, data, tmp_path):
+    """No checkpoint, a foreign one, an incomplete one, and one made from other inputs fail; the right one passes."""
+    inputs, output = tmp_path / "data", str(tmp_path / "out")
+    shutil.copytree(data, inputs)
+    tables, checkpoint = Tables(spark, str(inputs)), f"{output}/P/cleaned"
+    partial = Job(70, "UNSPSC_CODE", "P", "PARTIAL", "FUZZY")
+    with pytest.raises(CheckpointUnverified, match="no checkpoint"):
+        enriched_items(spark, partial, tables, checkpoint)
+    request = f"{output}/P/classifier_request"
+    with contextlib.suppress(AnswerMissing, AnswerStale):
+        enriched_items(spark, Job(70, "UNSPSC_CODE", "P", "FULL", "FUZZY"), tables, checkpoint)
+    answer(spark, request, str(inputs))
+    full = enriched_items(spark, Job(70, "UNSPSC_CODE", "P", "FULL", "FUZZY"), tables, checkpoint)
+    assert enriched_items(spark, partial, tables, checkpoint).count() == full.count() > 0
+    rows = materialize(full.limit(5), "foreign")
+    foreign = f"{output}/Q/cleaned"
+    sinks.write_checkpoint(rows, foreign)
+    with pytest.raises(CheckpointUnverified, match="no manifest"):
+        enriched_items(spark, partial, tables, foreign)
+    manifest.begin(spark, foreign)
+    with pytest.raises(CheckpointUnverified, match="to its end"):
+        enriched_items(spark, partial, tables, foreign)
+    manifest.complete(spark, foreign, full, {})
+    with pytest.raises(CheckpointUnverified, match="not the one"):
+        enriched_items(spark, partial, tables, foreign)
+    write_csv(inputs / "alias_map.csv" / "later.csv", [["c", "n", "1"], ["New", 1, "new"]])
+    with pytest.raises(CheckpointUnverified, match="alias_map"):
+        enriched_items(spark, partial, tables, checkpoint)
