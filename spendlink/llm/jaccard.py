@@ -215,14 +215,29 @@ def _intersections(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.n
     return common[i, j].astype(np.int64)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """docs(key, text) with compressed texts, as they cross the network: the length, then the bytes."""
+
+    def work(batch):
+        texts = [t.as_py() or b"" for t in as_bytes(batch.column(1))]
+        small = [len(t).to_bytes(8, "little") + pa.compress(t, codec="zstd", asbytes=True) for t in texts]
+        return pa.record_batch([batch.column(0), pa.array(small, pa.binary())], ["key", "text"])
+
+    return map_arrow(docs.select("key", "text"), work, "key string, text binary")
+
+
+def unpacked(text: bytes) -> bytes:
+    return pa.decompress(text[8:], int.from_bytes(text[:8], "little"), codec="zstd", asbytes=True)
+
+
 def exact_links(members: DataFrame) -> DataFrame:
-    """(node, links, root) per meeting for members(group, node, n, signature, text): links weighted by n."""
+    """(node, links, root) per meeting for members(group, node, n, signature, text): links weighted by n. Texts are packed."""
     hasher = Hasher()
     up, down = THRESHOLD
 
     def work(t: pa.Table):
         node, signature, weight = t.column("node").to_pylist(), _signatures(t.column("signature")), t.column("n").to_numpy()
-        sets = [hasher.shingles(x.as_py()) for x in t.column("text").cast(pa.binary())]
+        sets = [hasher.shingles(unpacked(x.as_py())) for x in t.column("text")]
         size = np.array([len(s) for s in sets])
         i, j = np.triu_indices(len(node), 1)
         if t.column("first")[0].as_py() != t.column("second")[0].as_py():
@@ -285,7 +300,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     candidates = components(candidate_edges(classes), "candidates")
     wanted = candidates.withColumnRenamed("root", "group").join(classes.select("node", "n", "key", "signature"), "node")
     # Only candidates' texts are needed again, one for each class.
-    texts = narrow.select("key", "text").join(wanted.select("key", "node"), "key").groupBy("node").agg(F.first("text").alias("text"))
+    texts = packed(narrow).join(wanted.select("key", "node"), "key").groupBy("node").agg(F.first("text").alias("text"))
     members = meetings(wanted.select("group", "node", "n", "signature"), "group", "node", TILE).join(texts, "node")
     found = materialize(exact_links(members), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
