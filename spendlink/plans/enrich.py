@@ -50,8 +50,10 @@ def enrich(
     classify: Callable[[DataFrame], DataFrame],
     human: DataFrame,
     animal: DataFrame,
+    how: str = "inner",
 ) -> DataFrame:
-    """All enrichment steps. ``classify`` turns the classifier request into predictions ``(pim_key, first)``.
+    """All enrichment steps. ``classify`` turns the classifier request into predictions ``(pim_key, first)``; items without one are
+    dropped unless ``how`` is ``left``.
 
     The prepared items feed the ids, the request, the product lookup and the result, so they are written out once. The items are
     written before: duplicates are found in one read of them and marked in another, which must number rows alike.
@@ -59,4 +61,4 @@ def enrich(
     items = materialize(items, "items")
     numbered = with_surrogate_id(materialize(prepare(items, aliases, keywords), "prepared"))
     predictions = classify(classifier_request(numbered))
-    return attach_products(attach_class_code(numbered, predictions), human, animal)
+    return attach_products(attach_class_code(numbered, predictions, how), human, animal)

@@ -21,11 +21,17 @@ TOP = 5
 
 @dataclass(frozen=True)
 class Settings:
-    """``scorer`` is FUZZY or FAST_FUZZY; ``only_top`` keeps one match per item, otherwise the best five."""
+    """``scorer`` is FUZZY or FAST_FUZZY; ``only_top`` keeps one match per item, otherwise the best five.
+
+    ``exact_case`` compares an item's manufacturer as it stands; ``both_forms`` has FAST_FUZZY normalise the catalogue's text too, where
+    it is stored as it came (new spend).
+    """
 
     threshold: int
     scorer: str = "FUZZY"
     only_top: bool = True
+    exact_case: bool = False
+    both_forms: bool = False
 
     @property
     def k(self) -> int:
@@ -87,9 +93,10 @@ def link(items: DataFrame, catalogue: DataFrame, records: DataFrame, settings: S
         {"_block": F.expr(block), "_text": rule.item_form(F.coalesce("item_description", F.lit("")))}
     )
     source = F.col("clean" if rule.stored_form else "description")
+    form = rule.item_form if settings.both_forms else rule.candidate_form
     best = best_matches(
         keyed.selectExpr("_block AS block", "_text AS text"),
-        catalogue.select("block", rule.candidate_form(source).alias("text"), F.col("id").alias("cand_id")),
+        catalogue.select("block", form(source).alias("text"), F.col("id").alias("cand_id")),
         cutoff=settings.threshold,
         k=settings.k,
         digits=rule.digits,
@@ -122,7 +129,7 @@ def price_by_manufacturer(
     items: DataFrame, maker_products: DataFrame, prices: DataFrame, settings: Settings, exact_case: bool = False
 ) -> DataFrame:
     """Both manufacturer names are lowered; ``exact_case`` compares the item's name as it stands."""
-    block = item_maker_block(lower=not exact_case)
+    block = item_maker_block(lower=not (exact_case or settings.exact_case))
     return link(items, maker_entries(maker_products), effective_prices(prices), settings, block)
 
 
@@ -133,7 +140,7 @@ def spend_by_drug(items: DataFrame, spend: DataFrame, settings: Settings) -> Dat
 def spend_by_manufacturer(
     items: DataFrame, spend: DataFrame, settings: Settings, exact_case: bool = False
 ) -> DataFrame:
-    block = item_maker_block(lower=not exact_case)
+    block = item_maker_block(lower=not (exact_case or settings.exact_case))
     return link(items, spend_maker_entries(spend), new_spend_records(spend), settings, block)
 
 
@@ -141,25 +148,31 @@ def spend_by_description(items: DataFrame, spend: DataFrame, settings: Settings)
     return link(items, spend_text_entries(spend), new_spend_records(spend), settings, text_block("item_description"))
 
 
-# Untagged items go by class code, tagged ones by manufacturer.
-MANUFACTURER_ROUTE = f"if(tag = '', {class_block('class_code')}, {item_maker_block()})"
+def manufacturer_route(lower: bool = True) -> str:
+    """Untagged items go by class code, tagged ones by manufacturer."""
+    return f"if(tag = '', {class_block('class_code')}, {item_maker_block(lower)})"
+
+
+def new_spend_route(lower: bool = True) -> str:
+    """By drug name if there is one, else by manufacturer, else by the whole description. The drug name is the first token
+    of any description, so nearly all items take the first route."""
+    return (
+        f"CASE WHEN drug_name <> '' THEN {text_block('drug_name')}"
+        f" WHEN canonical_manufacturer <> '' THEN {item_maker_block(lower)}"
+        f" ELSE {text_block('item_description')} END"
+    )
+
 
-# By drug name if there is one, else by manufacturer, else by the whole description. The drug name is the first token
-# of any description, so nearly all items take the first route.
-NEW_SPEND_ROUTE = (
-    f"CASE WHEN drug_name <> '' THEN {text_block('drug_name')}"
-    f" WHEN canonical_manufacturer <> '' THEN {item_maker_block()}"
-    f" ELSE {text_block('item_description')} END"
-)
+MANUFACTURER_ROUTE, NEW_SPEND_ROUTE = manufacturer_route(), new_spend_route()
 
 
 def match_by_manufacturer(
     items: DataFrame, class_products: DataFrame, maker_products: DataFrame, prices: DataFrame, settings: Settings
 ) -> DataFrame:
     catalogue = class_entries(class_products).unionByName(maker_entries(maker_products))
-    return link(items, catalogue, effective_prices(prices), settings, MANUFACTURER_ROUTE)
+    return link(items, catalogue, effective_prices(prices), settings, manufacturer_route(not settings.exact_case))
 
 
 def match_new_spend(items: DataFrame, spend: DataFrame, settings: Settings) -> DataFrame:
     catalogue = spend_text_entries(spend).unionByName(spend_maker_entries(spend))
-    return link(items, catalogue, new_spend_records(spend), settings, NEW_SPEND_ROUTE)
+    return link(items, catalogue, new_spend_records(spend), settings, new_spend_route(not settings.exact_case))

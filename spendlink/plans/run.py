@@ -27,16 +27,20 @@ class Job:
     process: str
     scorer: str
     only_top: bool = True
+    exact_case: bool = False
+    both_forms: bool = False
+    #: Items the classifier does not answer for stay, without a class code.
+    keep_unclassified: bool = False
 
     @classmethod
-    def parse(cls, args: list[str]) -> Job:
+    def parse(cls, args: list[str], **options: bool) -> Job:
         """``threshold mode project FULL|PARTIAL FUZZY|FAST_FUZZY [only_top]``; only ``false`` turns only_top off."""
         if len(args) not in (5, 6):
             raise ValueError("expected: threshold mode project FULL|PARTIAL FUZZY|FAST_FUZZY [only_top]")
         threshold, mode, project, process, scorer = args[:5]
         job = cls(
             int(threshold), mode.upper(), project, process.upper(), scorer.upper(),
-            not (len(args) == 6 and args[5].upper() == "FALSE"),
+            not (len(args) == 6 and args[5].upper() == "FALSE"), **options,
         )
         for value, allowed in ((job.mode, MODES), (job.process, PROCESSES), (job.scorer, SCORER_NAMES)):
             if value not in allowed:
@@ -45,7 +49,7 @@ class Job:
 
     @property
     def settings(self) -> Settings:
-        return Settings(self.threshold, self.scorer, self.only_top)
+        return Settings(self.threshold, self.scorer, self.only_top, self.exact_case, self.both_forms)
 
 
 class Tables:
@@ -131,6 +135,7 @@ def enriched_items(spark: SparkSession, job: Job, inputs: Tables, checkpoint: st
         classify,
         inputs.table("product_package"),
         inputs.table("animal_product"),
+        how="left" if job.keep_unclassified else "inner",
     )
     manifest.begin(spark, checkpoint)
     written = sinks.write_checkpoint(items, checkpoint)

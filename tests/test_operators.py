@@ -185,3 +185,23 @@ def test_a_hot_key_is_split_by_the_engine(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_settings_reach_the_match(spark):
+    """Both forms normalised on request, exact manufacturer names in routed modes, one record per id."""
+    spend = spark.createDataFrame(
+        [(1, "beta, ALPHA", "Acme", 2.0, "A", 5.0, 10.0, "EA"), (1, "beta, ALPHA", "Acme", 3.0, "B", 6.0, 18.0, "BX")],
+        "id long, itemdesc string, mfrcanonicalname string, quantity double, manufacturer string, pricepaid double, totalspend double, uom string",
+    )
+    items = spark.createDataFrame([("alpha beta", "", "Acme")], "item_description string, drug_name string, canonical_manufacturer string")
+    plain = price.match_new_spend(items, spend, Settings(1, "FAST_FUZZY")).collect()
+    both = price.match_new_spend(items, spend, Settings(1, "FAST_FUZZY", both_forms=True)).collect()
+    assert len(plain) == len(both) == 1 and plain[0].accuracy < 100 == both[0].accuracy and both[0].quantity == 2.0
+    assert price.match_new_spend(items, spend, Settings(1, exact_case=True)).head().accuracy is None
+
+
+def test_unclassified_items_stay_on_request(spark):
+    items = spark.createDataFrame([(1, "a"), (2, "b")], "pim long, item_description string")
+    predictions = spark.createDataFrame([(1, "7")], "pim_key long, first string")
+    assert [tuple(r) for r in lookup.attach_class_code(items, predictions).collect()] == [(1, "a", "7")]
+    assert sorted(tuple(r) for r in lookup.attach_class_code(items, predictions, "left").collect()) == [(1, "a", "7"), (2, "b", None)]

@@ -32,6 +32,8 @@ def test_bad_arguments(args):
 def test_arguments():
     assert Job.parse("60 manufacturer P partial fast_fuzzy".split()) == Job(60, "MANUFACTURER", "P", "PARTIAL", "FAST_FUZZY")
     assert not Job.parse("60 MANUFACTURER P PARTIAL FUZZY false".split()).only_top
+    options = Job.parse("60 MANUFACTURER P PARTIAL FUZZY".split(), exact_case=True, both_forms=True)
+    assert options.settings.exact_case and options.settings.both_forms and not options.keep_unclassified
 
 
 def test_result_paths():
