@@ -13,7 +13,7 @@ from catalog import sql as q
 from catalog.fixtures import Inputs
 from catalog.sql import Query
 from spendlink.functions import clean, concepts, normalize, similarity, tags
-from spendlink.operators import dedup, keywords, lookup, match, priority, products, record
+from spendlink.operators import dedup, keywords, lookup, match, priority, products, record, spread
 from spendlink.plans import enrich, price, run
 from spendlink.plans.price import Settings
 from spendlink.sources import readers, records, sinks
@@ -460,6 +460,16 @@ def _(t):
     return named.select("row_id", "canonical_manufacturer")
 
 
+@query(
+    "j01_spread_join",
+    "SELECT row_id, i.manufacturer, n FROM items i LEFT JOIN"
+    " (SELECT manufacturer, count(*) AS n FROM items WHERE row_id % 3 > 0 GROUP BY manufacturer) USING (manufacturer)",
+)
+def _(t):
+    counted = t.items.filter("row_id % 3 > 0").groupBy("manufacturer").agg(F.count(F.lit(1)).alias("n"))
+    return spread.spread_join(t.items, counted, ["manufacturer"], by=["row_id"]).select("row_id", "manufacturer", "n")
+
+
 @query("j02_enrich_distinct", f"SELECT row_id, {FUZZY_ITEM} AS form FROM items")
 def _(t):
     def forms(inputs: DataFrame) -> DataFrame:

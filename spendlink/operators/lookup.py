@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spendlink.functions.concepts import concept_info, first_code
 from spendlink.functions.tags import merge_tags, promote_if
+from spendlink.operators.spread import spread_join
 
 UNKNOWN = "UNKNOWN"
 
@@ -25,18 +26,26 @@ def enrich_distinct(df: DataFrame, keys: list[str], enrich: Callable[[DataFrame]
     return left_attach(df, enrich(df.select(*keys).distinct()), keys)
 
 
-def canonical_manufacturer(items: DataFrame, aliases: DataFrame) -> DataFrame:
-    """``canonical_manufacturer`` from ``(alias, canonical)``; ``UNKNOWN`` without a hit."""
+def canonical_manufacturer(items: DataFrame, aliases: DataFrame, fans: dict[int, int] | None = None) -> DataFrame:
+    """``canonical_manufacturer`` from ``(alias, canonical)``; ``UNKNOWN`` without a hit.
+
+    ``fans`` spread the items of frequent manufacturers, see ``operators.spread``.
+    """
     named = aliases.selectExpr("alias AS clean_manufacturer", "canonical AS canonical_manufacturer")
-    return items.join(named, "clean_manufacturer", "left").withColumn(
+    return spread_join(items, named, ["clean_manufacturer"], fans=fans or {}).withColumn(
         "canonical_manufacturer", F.coalesce("canonical_manufacturer", F.lit(UNKNOWN))
     )
 
 
-def attach_class_code(items: DataFrame, predictions: DataFrame, how: str = "inner") -> DataFrame:
-    """First predicted class per surrogate id. Items without a prediction are dropped unless ``how='left'``."""
-    first = predictions.selectExpr("pim_key AS pim", "first AS class_code")
-    return items.join(first, "pim", how)
+def attach_class_code(
+    items: DataFrame, predictions: DataFrame, how: str = "inner", fans: dict[int, int] | None = None
+) -> DataFrame:
+    """First predicted class per surrogate id. Items without a prediction are dropped unless ``how='left'``.
+
+    ``fans`` spread the items of frequent ids, see ``operators.spread``.
+    """
+    first = predictions.selectExpr(f"CAST(pim_key AS {items.schema['pim'].dataType.simpleString()}) AS pim", "first AS class_code")
+    return spread_join(items, first, ["pim"], how, fans=fans or {})
 
 
 def one_answer(responses: DataFrame, key: str) -> DataFrame:

@@ -12,6 +12,7 @@ from spendlink.operators.dedup import mark_duplicates, with_key, with_surrogate_
 from spendlink.operators.keywords import tag_keywords
 from spendlink.operators.lookup import attach_class_code, canonical_manufacturer
 from spendlink.operators.products import attach_products
+from spendlink.operators.spread import frequent_keys
 from spendlink.sources.shared import materialize
 from spendlink.sources.sinks import classifier_request
 
@@ -39,8 +40,9 @@ def name_drugs(items: DataFrame, keywords: DataFrame) -> DataFrame:
 
 def prepare(items: DataFrame, aliases: DataFrame, keywords: DataFrame) -> DataFrame:
     """Clean, key, duplicates, canonical manufacturer, drug name and tag. Needs a unique ``row_id``."""
-    marked = mark_duplicates(with_key(clean_items(items)))
-    return name_drugs(canonical_manufacturer(marked, aliases), keywords)
+    cleaned = clean_items(items)
+    fans = frequent_keys(cleaned, ["clean_manufacturer"])
+    return name_drugs(canonical_manufacturer(mark_duplicates(with_key(cleaned)), aliases, fans), keywords)
 
 
 def enrich(
