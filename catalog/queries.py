@@ -364,8 +364,7 @@ XML_SQL = (
 
 @query("p21_xml_concepts", XML_SQL)
 def _(t):
-    info = t.concept_xml.select("concept_code", concepts.concept_info(F.col("response")).alias("info"))
-    return info.select("concept_code", "info.*").selectExpr(
+    return lookup.concept_answers(t.concept_xml).select("concept_code", "info.*").selectExpr(
         "concept_code", *(text_of(c) for c in ("brand_names", "ingredients", "species_tags"))
     )
 

@@ -34,8 +34,14 @@ def _values_of(groups: Column, kind: str, field: str) -> Column:
 
 
 def concept_info(xml: Column) -> Column:
-    """Struct of brand names, ingredient names and species tags. A malformed answer gives three empty arrays."""
-    parsed = F.from_xml(xml, CONCEPT_GROUPS, XML_OPTIONS)
+    """Struct of brand names, ingredient names and species tags. A malformed answer gives three empty arrays.
+
+    The parsed answer is bound to a lambda variable: used by name in every field, it would be parsed once per use.
+    """
+    return F.transform(F.array(F.from_xml(xml, CONCEPT_GROUPS, XML_OPTIONS)), _info)[0]
+
+
+def _info(parsed: Column) -> Column:
     sound = F.when(parsed["malformed"].isNull(), parsed["allRelatedGroup"]["conceptGroup"])
     groups = F.coalesce(sound, F.array())
     human = F.array_contains(_values_of(groups, "IN", "inferedhuman"), "US")

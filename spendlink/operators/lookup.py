@@ -60,9 +60,20 @@ def attach_concept_code(items: DataFrame, responses: DataFrame) -> DataFrame:
     return coded.withColumn("tag", promote_if(F.col("tag"), F.col("concept_code") != ""))
 
 
+def concept_answers(responses: DataFrame) -> DataFrame:
+    """``(concept_code, info)`` of every XML answer.
+
+    Parsing takes long for the few bytes of an answer, so the answers are dealt to tasks by number: by size, a file or a shuffle of
+    a million answers is one or two tasks.
+    """
+    partitions = int(responses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = responses.select("concept_code", "response").repartition(partitions)
+    return dealt.select("concept_code", concept_info(F.col("response")).alias("info"))
+
+
 def attach_concept_info(items: DataFrame, responses: DataFrame) -> DataFrame:
     """Brand names, ingredients and species tags by concept code from a table of XML answers."""
-    info = one_answer(responses.filter("concept_code <> ''"), "concept_code").select("concept_code", concept_info(F.col("response")).alias("info"))
+    info = concept_answers(one_answer(responses.filter("concept_code <> ''"), "concept_code"))
     none = "cast(array() AS array<string>)"
     return (
         left_attach(items, info, ["concept_code"])

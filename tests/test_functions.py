@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spendlink.functions import clean, concepts, normalize, similarity, tags
 from spendlink.functions.similarity import Texts, lcs_bound, lcs_lengths
+from spendlink.operators.lookup import concept_answers
 from tests import model
 
 letters = st.text(alphabet="abcdé語 _-\U0001f600", max_size=90)
@@ -110,3 +111,13 @@ def test_concept_answers(spark):
     info = apply(spark, [XML, XML[:-5], "", "<r/>", None], concepts.concept_info)
     assert info[0] == ([" Brand ", "Second"], ["Ingredient"], ["Human_Drug"])
     assert all(i == ([], [], []) for i in info[1:])
+
+
+def test_an_answer_is_parsed_once_by_one_of_many_tasks(spark):
+    answers = spark.createDataFrame([(f"C{n}", XML) for n in range(64)], "concept_code string, response string").coalesce(1)
+    infos = concept_answers(answers)
+    fields = infos.select("concept_code", "info.*", F.spark_partition_id().alias("task"))
+    assert fields._jdf.queryExecution().executedPlan().toString().count("from_xml") == 1
+    rows = fields.collect()
+    assert len({r.concept_code for r in rows}) == 64 and len({r.task for r in rows}) == 8
+    assert all(r.brand_names == [" Brand ", "Second"] and r.species_tags == ["Human_Drug"] for r in rows)
