@@ -520,13 +520,11 @@ def _(t):
     words = t.table("benchmark").selectExpr("explode(split(lower(text), '[^\\\\p{L}\\\\p{N}]+')) AS needle")
     named = t.documents.selectExpr("doc_id", "lower(text) AS name")
     return (
-        products.contains_join(words, named)
-        .select("needle", "digest")
+        products.contained_in(words, named)
+        .selectExpr("digest", "size(needles) AS n", "array_min(needles) AS first", "array_max(needles) AS last")
         .join(named.selectExpr("doc_id", f"{products.digest('name')} AS digest"), "digest")
         .groupBy("doc_id")
-        .agg(
-            F.count(F.lit(1)).alias("words"), F.min("needle").alias("first_word"), F.max("needle").alias("last_word")
-        )
+        .agg(F.sum("n").alias("words"), F.min("first").alias("first_word"), F.max("last").alias("last_word"))
     )
 
 

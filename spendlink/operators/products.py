@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendlink.functions.contains import contained
 from spendlink.functions.normalize import fuzzy_form
 from spendlink.functions.tags import DRUG
 from spendlink.operators.lookup import left_attach
 from spendlink.operators.match import best_matches
 from spendlink.sources.shared import materialize
 
-GRAM = 3
+# Characters of names, and needles, that meet in one group; a needle longer than LONG characters counts for several.
+NAME_TILE = 8 << 20
+NEEDLE_TILE = 1 << 16
+LONG = 256
 # Order of the fields in the text a description is scored against; a missing field reads "None".
 RECORD_FIELDS = (
     "proprietaryname",
@@ -23,46 +29,54 @@ RECORD_FIELDS = (
 )
 
 
-def _grams(chars: str, size: int) -> str:
-    """Distinct grams of one size from an array of characters."""
-    joined = " || ".join(["c", *(f"{chars}[i + {n}]" for n in range(1, size))])
-    return f"array_distinct(transform(slice({chars}, 1, greatest(size({chars}) - {size - 1}, 0)), (c, i) -> {joined}))"
-
-
-def _gram_rows(texts: DataFrame, keep: str, text: str, grams: str) -> DataFrame:
-    return texts.selectExpr(keep, f"split({text}, '') AS chars").selectExpr(keep, f"explode({grams}) AS gram")
-
-
 def digest(text: str) -> str:
     return f"unhex(md5({text}))"
 
 
-def contains_join(needles: DataFrame, names: DataFrame) -> DataFrame:
-    """All ``(needle, digest, name)`` with the needle inside the name, as equi-joins; the digest stands for the name.
+def _tiles(texts: DataFrame, column: str, load: str, size: int) -> int:
+    total = texts.agg(F.expr(f"sum({load.format(column)})").alias("total")).first().total
+    return max(1, -int(-(total or 0) // size))
+
 
-    Each needle probes with its rarest trigram only (its whole text if shorter); the pairs found are then verified.
-    Grams carry a digest of the name, not the name, so long names are shuffled once and not once per gram. A needle
-    with a trigram no name has is dropped before the join.
+def contained_in(
+    needles: DataFrame, names: DataFrame, name_tile: int = NAME_TILE, needle_tile: int = NEEDLE_TILE
+) -> DataFrame:
+    """``(digest, needles)``: each distinct name that contains a needle, by its digest, and an array of those inside it.
 
-    Grams are counted with partial aggregation, so a common gram is one row per task. The grams of the names then meet
-    the probes in a join of their own exchange, which adaptive execution can split at a hot gram.
+    Both sides' distinct texts are dealt by hash to tiles of bounded size. A name tile meets every needle tile in one group, where
+    ``functions.contains`` looks the needles up word by word; a name is copied once per needle tile, 65,536 needles, and no pair
+    is a row unless it is a hit.
     """
     needles = needles.select("needle").filter("needle <> ''").distinct()
-    names = names.select("name").filter("name <> ''").distinct().selectExpr(f"{digest('name')} AS digest", "name")
-    longest = f"CASE size(chars) WHEN 1 THEN {_grams('chars', 1)} WHEN 2 THEN {_grams('chars', 2)}"
-    needle_grams = _gram_rows(needles, "needle", "needle", f"{longest} ELSE {_grams('chars', GRAM)} END")
-    every_size = ", ".join(_grams("chars", n) for n in range(1, GRAM + 1))
-    name_grams = _gram_rows(names, "digest", "name", f"concat({every_size})")
-    frequency = name_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    probes = (
-        needle_grams.join(frequency, "gram", "left")
-        .groupBy("needle")
-        .agg(F.expr("min(struct(coalesce(n, 0L) AS n, gram)) AS rarest"))
-        .filter("rarest.n > 0")
-        .selectExpr("needle", "rarest.gram AS gram")
+    names = names.select("name").filter("name <> ''")
+    across = _tiles(names, "name", "length({})", name_tile)
+    down = _tiles(needles, "needle", f"greatest(1D, length({{}}) / {LONG})", needle_tile)
+    tile = "int(pmod(xxhash64({}), {}))".format
+    left = needles.selectExpr(
+        f"explode(sequence(0, {across - 1})) AS across", f"{tile('needle', down)} AS down", "CAST(needle AS BINARY) AS needle"
     )
-    suspects = probes.join(name_grams, "gram").select("needle", "digest")
-    return suspects.join(names, "digest").filter("contains(name, needle)").select("needle", "digest", "name")
+    right = names.distinct().selectExpr(
+        f"{tile('name', across)} AS across", f"explode(sequence(0, {down - 1})) AS down",
+        f"{digest('name')} AS digest", "CAST(name AS BINARY) AS name",
+    )
+
+    def meet(some: pa.Table, texts: pa.Table) -> pa.Table:
+        inside = contained(some["needle"].combine_chunks(), texts["name"].combine_chunks())
+        found = pa.table({"digest": texts["digest"].combine_chunks(), "needles": inside})
+        return found.filter(pc.greater(pc.list_value_length(inside), 0))
+
+    cells = left.groupBy("across", "down").cogroup(right.groupBy("across", "down"))
+    met = cells.applyInArrow(meet, "digest binary, needles array<binary>")
+    if down > 1:
+        met = met.groupBy("digest").agg(F.flatten(F.collect_list("needles")).alias("needles"))
+    return met.selectExpr("digest", "CAST(needles AS ARRAY<STRING>) AS needles")
+
+
+def contains_join(needles: DataFrame, names: DataFrame) -> DataFrame:
+    """All ``(needle, digest, name)`` with the needle inside the name; the digest stands for the name."""
+    pairs = contained_in(needles, names).selectExpr("digest", "explode(needles) AS needle")
+    named = names.select("name").filter("name <> ''").distinct().selectExpr(f"{digest('name')} AS digest", "name")
+    return pairs.join(named, "digest").select("needle", "digest", "name")
 
 
 def with_content_id(products: DataFrame) -> DataFrame:
@@ -80,7 +94,8 @@ def products_by_name(drugs: DataFrame, products: DataFrame, name_columns: list[s
     """
     per_column = [f"struct({rank} AS name_rank, lower({c}) AS name)" for rank, c in enumerate(name_columns, start=1)]
     named = products.selectExpr("id", f"inline(array({', '.join(per_column)}))").filter("name IS NOT NULL")
-    pairs = contains_join(drugs.selectExpr("drug_name AS needle"), named).select("needle", "digest")
+    hits = contained_in(drugs.selectExpr("drug_name AS needle"), named)
+    pairs = hits.selectExpr("explode(needles) AS needle", "digest")
     by_digest = named.selectExpr("id", "name_rank", f"{digest('name')} AS digest")
     return (
         pairs.join(by_digest, "digest")

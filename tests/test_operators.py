@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -72,6 +73,35 @@ def test_contains_join(spark, alphabet):
     assert rows(got, "needle", "name") == expected
 
 
+@pytest.mark.parametrize("name_tile, needle_tile", [(1 << 20, 1 << 16), (100, 1 << 16), (100, 10)])
+def test_contained_in_tiles(spark, name_tile, needle_tile):
+    """Long words and needles, needles of several words and of none, copies, nulls; whatever the tiles."""
+    rnd = random.Random(5)
+    alphabets = ["ab", "ab é", "a.- ", "語b"]
+    def text(longest):
+        return "".join(rnd.choice(rnd.choice(alphabets)) for _ in range(rnd.randint(0, longest)))
+    names = [text(60) for _ in range(60)] + ["abba" * 40, None, None]
+    needles = [text(4) for _ in range(60)] + [n[5:30] for n in names[:30]] + ["abba" * 5, "abba" * 6 + "b", "--", " ", None]
+    got = products.contained_in(
+        spark.createDataFrame([(n,) for n in needles * 2], "needle string"),
+        spark.createDataFrame([(n,) for n in names * 2], "name string"), name_tile, needle_tile,
+    ).collect()
+    expected = {
+        hashlib.md5(b.encode()).digest(): sorted({a for a in needles if a and a in b}) for b in names if b
+    }
+    assert len(got) == len({bytes(r.digest) for r in got})
+    assert {bytes(r.digest): sorted(r.needles) for r in got} == {d: found for d, found in expected.items() if found}
+
+
+def test_contained_in_makes_no_row_per_gram(spark):
+    texts = spark.createDataFrame([("word " * 50 + str(n),) for n in range(50)], "name string")
+    needles = spark.createDataFrame([("word",), ("4",)], "needle string")
+    found = products.contained_in(needles, texts)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(concat" not in plan and "array_distinct" not in plan
+    assert found.selectExpr("sum(size(needles))").first()[0] == 50 + 14
+
+
 PRODUCTS = "id long, proprietaryname string, dosageformname string, packagedescription string, productndc string, nonproprietaryname string, labelername string"
 ANIMAL = "id long, proprietaryname string, ndc string, nonproprietaryname string, labelername string"
 
