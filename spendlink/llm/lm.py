@@ -43,8 +43,10 @@ SYMBOLS = 257
 #: Bytes of text that are put together in one go.
 SLICE = 1 << 23
 BUCKETS = 1024
-#: Cells of a dense table that numbers contexts; beyond it they are sorted.
-DENSE = 1 << 24
+#: Cells of a dense table that numbers contexts; up to MARKED they are marked and ranked, beyond it sorted.
+DENSE, MARKED = 1 << 24, 1 << 27
+#: Symbols ranked at once.
+RANKED = 1 << 20
 #: Kinds of rows.
 TEXTS, PAIRS, TOKENS, LOW = range(4)
 
@@ -75,6 +77,24 @@ def coded(texts: list[bytes]):
     return context[keep], symbol[keep], first
 
 
+def _ranked(key: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, and the place of each key among them, from a map of marks: no key is sorted."""
+    seen = np.zeros(-(-cells // 64) * 64, bool)
+    seen[key] = True
+    known = np.flatnonzero(seen)
+    marks = np.packbits(seen, bitorder="little").view("<u8")
+    del seen
+    before = np.cumsum(np.bitwise_count(marks), dtype=np.int32)
+    before = np.concatenate([np.zeros(1, np.int32), before[:-1]])
+    number = np.empty(len(key), np.int32)
+    for first in range(0, len(key), RANKED):
+        part = key[first : first + RANKED]
+        word, bit = part >> 6, (part & 63).astype(np.uint64)
+        lower = marks[word] & ((np.uint64(1) << bit) - np.uint64(1))
+        number[first : first + RANKED] = before[word] + np.bitwise_count(lower)
+    return known, number
+
+
 def pairs(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct (context, symbol) pairs, ascending, and the place of each coded symbol's pair among them. A pair is a
     number to the base 257: the nearest symbol of the context, the next one, ..., the symbol itself."""
@@ -101,6 +121,8 @@ def pairs(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
             names = np.empty(cells, np.int32)
             names[known] = np.arange(len(known), dtype=np.int32)
             number = names[key]
+        elif cells <= MARKED:
+            known, number = _ranked(key, cells)
         else:
             known, number = np.unique(key, return_inverse=True)
             number = number.astype(np.int32)

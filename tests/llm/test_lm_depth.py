@@ -88,3 +88,17 @@ def test_pairs_dense_and_sorted(monkeypatch):
     monkeypatch.setattr(lm, "DENSE", 0)
     again = lm.pairs(texts, 5)
     assert np.array_equal(code, again[0]) and np.array_equal(number, again[1]) and np.all(np.diff(code) > 0)
+
+
+def test_pairs_of_large_slices_are_not_sorted(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 256, n, np.uint8).tobytes() for n in (0, 1, 63, 64, 65, 3000)] + [b"abracadabra" * 200]
+    monkeypatch.setattr(lm, "DENSE", 0)
+    monkeypatch.setattr(lm, "MARKED", 0)
+    code, number = lm.pairs(texts, 5)
+    monkeypatch.undo()
+    monkeypatch.setattr(lm, "DENSE", 0)
+    monkeypatch.setattr(lm, "RANKED", 100)
+    monkeypatch.setattr(np, "unique", lambda *a, **k: pytest.fail("sorted"))
+    again = lm.pairs(texts, 5)
+    assert np.array_equal(code, again[0]) and np.array_equal(number, again[1]) and again[1].dtype == np.int32
