@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlink.llm import bpe, decontaminate, jaccard, secrets, toxicity
+from spendlink.llm.bloom import may_hold
 from spendlink.llm.common import numbered, table, unused
 from spendlink.sources.shared import materialize
 
@@ -31,8 +32,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without(stored: DataFrame, row: str, rows: DataFrame) -> DataFrame:
-    """``stored`` without the rows numbered in rows(row), and without its column of numbers ``row``."""
-    return stored.join(rows.select(F.col("row").alias(row)), row, "left_anti").drop(row)
+    """``stored`` without the rows numbered in rows(row), and without its column of numbers ``row``.
+
+    Texts are long and few rows go: only what a Bloom filter takes for one of them passes the join.
+    """
+    gone = materialize(rows.select(F.col("row").alias(row)), "dropped")
+    number = F.xxhash64(row)
+    maybe = may_hold(gone.select(number.alias("hash")), number)
+    kept = stored.filter(~maybe).unionByName(stored.filter(maybe).join(gone, row, "left_anti"))
+    return kept.drop(row)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,8 @@
 A pair of similarity 0.8 is in no common bucket with probability (1 - 0.8**5)**48 = 5e-9 and is pruned wrongly with a
 probability of the order of ``TOLERANCE`` per step; both vanish for closer pairs. False pairs never pass the exact check.
 
+Most buckets have one member and most texts no candidate. Bloom filters keep both out of the shuffles; exact joins follow.
+
 Words are those of the decontamination operator. Texts without words (null, empty, signs only) link with nothing.
 Rows with equal sets, repeated rows among them, link with each other. A null id is larger than any other when a group's
 smallest id is taken. An empty table gives an empty result; other columns are left aside.
@@ -29,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlink.llm.bloom import bloom, has
 from spendlink.llm.clusters import Forest, components, linked_sets, meetings, per_meeting
 from spendlink.llm.common import as_bytes, map_arrow, table, words_of
 from spendlink.sources.shared import materialize
@@ -167,13 +170,27 @@ def signed(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("doc_id", "key", "text"), work, schema)
 
 
+def banded_in(each: DataFrame, shared: DataFrame) -> DataFrame:
+    """(node, bucket) of each(node, buckets) for the buckets of ``shared``, and for few others, which a join drops."""
+    filled = each.sparkSession.sparkContext.broadcast(bloom(shared.select(F.col("bucket").alias("hash"))))
+
+    def work(batch):
+        lists = batch.column(1)
+        bucket = lists.flatten().to_numpy()
+        keep = np.flatnonzero(has(filled.value, bucket))
+        node = batch.column(0).take(pa.array(lists.value_parent_indices().to_numpy()[keep]))
+        return pa.record_batch([node, pa.array(bucket[keep])], ["node", "bucket"])
+
+    return map_arrow(each.select("node", "buckets"), work, "node binary, bucket bigint")
+
+
 def candidate_edges(classes: DataFrame) -> DataFrame:
     """Spanning edges (a, b) of the surviving pairs of each bucket of classes(node, signature, bands)."""
-    banded = classes.select("node", F.posexplode("bands").alias("band", "value"))
-    banded = banded.select("node", F.xxhash64("band", "value").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    each = classes.select("node", F.transform("bands", lambda value, band: F.xxhash64(band, value)).alias("buckets"))
+    sizes = each.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    shared = materialize(sizes.filter("n > 1").select("bucket"), "shared")
     # Written before anything else happens, so that a bucket with very many members can be split over tasks.
-    banded = materialize(banded.join(shared, "bucket"), "buckets")
+    banded = materialize(banded_in(each, shared).join(shared, "bucket"), "buckets")
     rows = meetings(banded, "bucket", "node", BUCKET_TILE).join(classes.select("node", "signature"), "node")
 
     def work(t: pa.Table):
@@ -215,15 +232,20 @@ def _intersections(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.n
     return common[i, j].astype(np.int64)
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """docs(key, text) with compressed texts, as they cross the network: the length, then the bytes."""
+def packed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """docs(key, text) with compressed texts, as they cross the network: the length, then the bytes.
+
+    Those with a key of wanted(key), and few others, which a join drops.
+    """
+    filled = docs.sparkSession.sparkContext.broadcast(bloom(wanted.select(F.xxhash64("key").alias("hash"))))
 
     def work(batch):
+        batch = batch.filter(pa.array(has(filled.value, batch.column(2).to_numpy())))
         texts = [t.as_py() or b"" for t in as_bytes(batch.column(1))]
         small = [len(t).to_bytes(8, "little") + pa.compress(t, codec="zstd", asbytes=True) for t in texts]
         return pa.record_batch([batch.column(0), pa.array(small, pa.binary())], ["key", "text"])
 
-    return map_arrow(docs.select("key", "text"), work, "key string, text binary")
+    return map_arrow(docs.select("key", "text", F.xxhash64("key")), work, "key string, text binary")
 
 
 def unpacked(text: bytes) -> bytes:
@@ -299,8 +321,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = materialize(classes, "classes")
     candidates = components(candidate_edges(classes), "candidates")
     wanted = candidates.withColumnRenamed("root", "group").join(classes.select("node", "n", "key", "signature"), "node")
+    wanted = materialize(wanted, "wanted")
     # Only candidates' texts are needed again, one for each class.
-    texts = packed(narrow).join(wanted.select("key", "node"), "key").groupBy("node").agg(F.first("text").alias("text"))
+    texts = packed(narrow, wanted).join(wanted.select("key", "node"), "key").groupBy("node").agg(F.first("text").alias("text"))
     members = meetings(wanted.select("group", "node", "n", "signature"), "group", "node", TILE).join(texts, "node")
     found = materialize(exact_links(members), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -33,6 +33,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlink.llm.bloom import bloom, has
 from spendlink.llm.clusters import by_key
 from spendlink.llm.common import as_bytes, map_arrow, numbered, release, table
 from spendlink.llm.jaccard import mixed
@@ -43,7 +44,6 @@ SPAN = LENGTH - GRAM + 1
 CHUNK = 1 << 20
 SHALLOW = 48
 HOT = 4096
-BLOCK_BITS, BIT = 7, 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, 256, np.uint64)
 
@@ -114,50 +114,6 @@ def place_hash(row: np.ndarray, place: np.ndarray) -> np.ndarray:
     return mixed(mixed(row.astype(np.uint64)) + place.astype(np.uint64))
 
 
-def _bits(gram: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    g = gram.astype(np.uint64)
-    mask = np.uint64((1 << BIT) - 1)
-    return (g >> np.uint64(64 - BLOCK_BITS)).astype(np.int64), [
-        ((g >> np.uint64(k * BIT)) & mask).astype(np.int64) for k in range(3)
-    ]
-
-
-def bloom(places: DataFrame) -> np.ndarray:
-    """One row of bits per block, of places(hash); every block is filled by one task."""
-
-    def run(batches):
-        held, bits = None, None
-        for batch in batches:
-            block, places = _bits(batch.column(1).to_numpy())
-            for b in np.unique(block):
-                if b != held:
-                    if held is not None:
-                        yield piece(held, bits)
-                    held, bits = b, np.zeros(1 << BIT, bool)
-                for p in places:
-                    bits[p[block == b]] = True
-        if held is not None:
-            yield piece(held, bits)
-
-    def piece(block, bits):
-        return pa.record_batch([pa.array([block], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["block", "bits"])
-
-    block = F.shiftrightunsigned("hash", 64 - BLOCK_BITS).cast("int").alias("block")
-    placed = places.select(block, "hash").repartition("block").sortWithinPartitions("block")
-    out = np.zeros((1 << BLOCK_BITS, 1 << (BIT - 3)), np.uint8)
-    for row in placed.mapInArrow(run, "block int, bits binary").toLocalIterator():
-        out[row.block] |= np.frombuffer(row.bits, np.uint8)
-    return out
-
-
-def has(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    block, places = _bits(hashes)
-    keep = np.ones(len(hashes), bool)
-    for p in places:
-        keep &= (filled[block, p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 > 0
-    return keep
-
-
 def packed_window(place, before, more):
     """Place, windows before and windows after the first in one number; both counts are below 128."""
     return place << 14 | before << 7 | more
