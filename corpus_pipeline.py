@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlink.llm import bpe, decontaminate, jaccard, secrets, toxicity
-from spendlink.llm.bloom import may_hold
 from spendlink.llm.common import numbered, table, unused
 from spendlink.sources.shared import materialize
 
@@ -34,13 +33,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without(stored: DataFrame, row: str, rows: DataFrame) -> DataFrame:
     """``stored`` without the rows numbered in rows(row), and without its column of numbers ``row``.
 
-    Texts are long and few rows go: only what a Bloom filter takes for one of them passes the join.
+    Texts are not shuffled for it: the numbers are broadcast as maps of 64 bits. They follow one another within a task, so that is less
+    than a byte per document.
     """
-    gone = materialize(rows.select(F.col("row").alias(row)), "dropped")
-    number = F.xxhash64(row)
-    maybe = may_hold(gone.select(number.alias("hash")), number)
-    kept = stored.filter(~maybe).unionByName(stored.filter(maybe).join(gone, row, "left_anti"))
-    return kept.drop(row)
+    bit = "shiftleft(1L, cast({0} & 63L as int))".format
+    gone = rows.groupBy(F.shiftright("row", 6).alias("__word")).agg(F.expr(f"bit_or({bit('row')})").alias("__bits"))
+    marked = stored.withColumn("__word", F.shiftright(row, 6)).join(F.broadcast(gone), "__word", "left")
+    return marked.filter(f"coalesce(__bits, 0L) & {bit(row)} = 0").drop("__word", "__bits", row)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
